@@ -48,20 +48,30 @@ def salt(*cols: str | Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
 
 
+def attach_by_key(rows: DataFrame, keys: list[str], values: DataFrame, salt_by: list[str], salts: int = SALTS, parts: DataFrame | None = None) -> DataFrame:
+    """rows with the columns of values, which has one row for each of the keys (null keys are equal to each other).
+
+    The keys of salted parts of rows get the values first, and rows get them from their part, so that a key with a third
+    of all rows is never in one task. parts: the keys and _salt of rows, if they are known.
+    """
+    own = rows.withColumn("_salt", salt(*salt_by, salts=salts))
+    parts = own.select(*keys, "_salt").distinct() if parts is None else parts.select(*keys, "_salt")
+    more = [c for c in values.columns if c not in keys]
+    a, b = parts.alias("a"), values.alias("b")
+    by_part = a.join(b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]).select("a.*", *(f"b.{c}" for c in more))
+    x, y = own.alias("x"), by_part.alias("y")
+    on = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in [*keys, "_salt"]]
+    return x.join(y, on).select(*(F.col(f"x.{c}") for c in rows.columns), *(F.col(f"y.{c}") for c in more))
+
+
 def smallest_of_group(rows: DataFrame, keys: list[str], id_col: str, salts: int = SALTS) -> DataFrame:
     """rows with keep_id (smallest id of the rows with the same keys) and group_size.
 
-    A group is counted in salted parts first, and its result goes back to parts, so that a key with a third of all
-    rows is never in one task. Null keys are equal to each other; null ids count but are never the smallest.
+    Null keys are equal to each other; null ids count but are never the smallest.
     """
-    parts = rows.withColumn("_salt", salt(id_col, salts=salts))
-    part_sums = parts.groupBy(*keys, "_salt").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_rows"))
-    sums = part_sums.groupBy(*keys).agg(F.min("_least").alias("keep_id"), F.sum("_rows").alias("group_size"))
-    a, b = part_sums.select(*keys, "_salt").alias("a"), sums.alias("b")
-    by_part = a.join(b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]).select("a.*", "b.keep_id", "b.group_size")
-    x, y = parts.alias("x"), by_part.alias("y")
-    on = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in [*keys, "_salt"]]
-    return x.join(y, on).select(*(F.col(f"x.{c}") for c in rows.columns), F.col("y.keep_id"), F.col("y.group_size"))
+    parts = rows.withColumn("_salt", salt(id_col, salts=salts)).groupBy(*keys, "_salt").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    sums = parts.groupBy(*keys).agg(F.min("_least").alias("keep_id"), F.sum("_rows").alias("group_size"))
+    return attach_by_key(rows, keys, sums, [id_col], salts, parts)
 
 
 def rank_within(rows: DataFrame, key: str, order: list[str], total: int, part_rows: int = 50_000) -> DataFrame:

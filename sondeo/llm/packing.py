@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,9 +23,8 @@ GROUPS = 256
 SPECIAL = "<|endoftext|>"
 
 
-@cache
 def _encoder(vocabulary: str):
-    """Token ids of a text, as those of the tokenizers library for this vocabulary.
+    """Token ids of a text, as those of the tokenizers library for this vocabulary; made once per worker process.
 
     Where the same vocabulary lies beside it as ranks, tiktoken gives the same ids several times as fast; texts that hold
     the vocabulary's special string go through tokenizers, which makes one id of it.
@@ -35,20 +33,25 @@ def _encoder(vocabulary: str):
     import os
 
     import tiktoken
+    import tokenizers
     from tokenizers import Tokenizer
 
+    made = tokenizers.__dict__.setdefault("_encoders_by_vocabulary", {})  # functions travel by value: their own module's names don't outlive a task
+    if vocabulary in made:
+        return made[vocabulary]
+
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     slow = Tokenizer.from_file(vocabulary)
     by_tokenizers = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
     ranks_file = vocabulary.removesuffix(".json") + ".tiktoken"
     if not os.path.exists(ranks_file):
-        return by_tokenizers
+        return made.setdefault(vocabulary, by_tokenizers)
     from public_tokenizers import PATTERN
 
     with open(ranks_file, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: by_tokenizers(text) if SPECIAL in text else np.array(fast.encode_ordinary(text), np.uint32)
+    return made.setdefault(vocabulary, lambda text: by_tokenizers(text) if SPECIAL in text else np.array(fast.encode_ordinary(text), np.uint32))
 
 
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, packing, quality
+from . import chat_format, exact_dedup, mixing, near_dedup, packing, quality
 from .common import materialize, table
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -19,6 +19,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted. Fitted to all labelled rows that are not held out; a row without text or id gets a score too."""
     held = quality.held_out()
@@ -61,7 +65,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_quality, op6_packing, op7_mixing, op9_exact_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_near_dedup, op5_quality, op6_packing, op7_mixing, op9_exact_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
