@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, near_dedup, packing, quality
+from . import ann, chat_format, exact_dedup, licenses, mixing, near_dedup, packing, quality
 from .common import materialize, table
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -23,6 +23,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted. Fitted to all labelled rows that are not held out; a row without text or id gets a score too."""
     held = quality.held_out()
@@ -41,6 +45,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), every=20, k=20)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(exact_dedup.normalised(F.col("text")), 256)
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), carry={"text_sha256": digest})
@@ -65,7 +73,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op5_quality, op6_packing, op7_mixing, op9_exact_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_near_dedup, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
