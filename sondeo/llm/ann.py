@@ -21,6 +21,8 @@ WIDTH = 2
 THRESHOLD = 0.2
 #: Different vectors of a block that are scored exactly for each query.
 RERANK = 128
+#: Vectors are scored exactly too whose codes' error, at so many standard deviations, may put them among the k nearest.
+SPREADS = 2.5
 BLOCK_ROWS, QUERY_ROWS = 8_192, 512
 
 
@@ -90,10 +92,16 @@ class Codebooks:
                         out.centres[j, c] = np.linalg.solve(left[of].sum(axis=0), right[of].sum(axis=0))
         return out
 
-    def packed(self, x: np.ndarray) -> np.ndarray:
-        """Two codes a byte: (subspaces / 2, rows)."""
+    def packed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two codes a byte: (subspaces / 2, rows), and (3, rows): squared norms, correction factors, residual norms across."""
         codes = self.encode(x)
-        return np.ascontiguousarray((codes[:, ::2] | codes[:, 1::2] << 4).T)
+        parts = self._split(x)
+        decoded = self.centres[np.arange(parts.shape[1]), codes]
+        square, kept = np.square(parts).sum(axis=(1, 2)), (parts * decoded).sum(axis=(1, 2))
+        square = np.maximum(square, 1e-30)
+        factor = np.where(kept > 0.1 * square, square / np.where(kept > 0.1 * square, kept, 1), 1)
+        across = np.sqrt(np.maximum(np.square(parts - decoded).sum(axis=(1, 2)) - np.square(square - kept) / square, 0))
+        return np.ascontiguousarray((codes[:, ::2] | codes[:, 1::2] << 4).T), np.stack([square, factor, across]).astype(np.float32)
 
     def tables(self, query: np.ndarray) -> np.ndarray:
         """Of a query, for each byte of codes its part of the inner product: (subspaces / 2, 256)."""
@@ -108,21 +116,36 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("vec").isNotNull() & F.col("v").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
 
-def _scan(books: Codebooks, query: np.ndarray, own: int, vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, starts: np.ndarray, k: int, rerank: int):
-    """The k nearest of a block: a table scan picks `rerank` different vectors, which are scored exactly.
+def _scan(books: Codebooks, query: np.ndarray, own: int, vectors: np.ndarray, codes: np.ndarray, extent: np.ndarray, ids: np.ndarray, starts: np.ndarray, k: int, rerank: int):
+    """The k nearest of a block: a table scan picks `rerank` different vectors and all that come close, which are scored exactly.
 
+    extent: of each vector the squared norm, the factor that undoes the residual along it, and the norm of that across it.
     ids are sorted within each different vector; starts tells where a vector's ids begin.
     """
     tables = books.tables(query)
     near = tables[0][codes[0]]
     for j in range(1, len(codes)):
         near += tables[j][codes[j]]
+    near *= extent[1]
     if rerank < len(near):
         top = np.argpartition(-near, rerank)[:rerank]
     else:
         top = np.arange(len(near))
     score = (vectors[top] * query).sum(axis=1)
+    if len(top) < len(near):
+        # what the error of its codes may hide from the k nearest so far is scored too: the part of the query across a
+        # vector meets the part of the residual across it at a random angle
+        least = np.partition(score, -min(k, len(score)))[-min(k, len(score))]
+        across = np.sqrt(np.maximum((query @ query).astype(np.float32) - near * near / extent[0], 0))
+        more = near + across * extent[2] * np.float32(SPREADS / np.sqrt(max(1, len(query) - 1))) >= least
+        more[top] = False
+        more = np.flatnonzero(more)
+        top, score = np.concatenate([top, more]), np.concatenate([score, (vectors[more] * query).sum(axis=1)])
     found_ids, found = [], []
+    if len(top) > 4 * k:
+        # by score alone 2 * k different vectors and all tied with the last are enough
+        best = score >= np.partition(score, -2 * k)[-2 * k]
+        top, score = top[best], score[best]
     for i, s in zip(top, score, strict=True):
         mine = ids[starts[i] : min(starts[i + 1], starts[i] + k + 1)]
         found_ids.append(mine)
@@ -138,7 +161,7 @@ def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_
 
     Codebooks are fitted to at most FIT_ROWS rows, the smallest by a hash of the id; every row is indexed. Queries and
     rows are dealt into blocks of bounded size, and each pair of blocks is one scan: four-bit codes of the block's
-    different vectors, RERANK of them scored exactly in double precision. The best of all blocks stay, nearest first,
+    different vectors; RERANK of them, and all others that may be as near, are scored exactly in double precision. The best of all blocks stay, nearest first,
     ties to the smaller id. Vectors null, zero, with null or non-finite components or (of the fewer) another length take
     no part; neither do rows without an id. A row that repeats an id is found as often as it stands there. An empty
     table gives no rows.
@@ -164,12 +187,13 @@ def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_
         different, of = np.unique(x, axis=0, return_inverse=True)
         order = np.argsort(of.ravel(), kind="stable")
         starts = np.searchsorted(of.ravel()[order], np.arange(len(different) + 1))
-        return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "ids": [pdf["vec"].to_numpy(np.int64)[order].tobytes()], "starts": [starts.astype(np.int64).tobytes()], "vectors": [different.tobytes()], "codes": [books.packed(different.astype(np.float32)).tobytes()]})
+        codes, extent = books.packed(different.astype(np.float32))
+        return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "ids": [pdf["vec"].to_numpy(np.int64)[order].tobytes()], "starts": [starts.astype(np.int64).tobytes()], "vectors": [different.tobytes()], "codes": [codes.tobytes()], "extent": [extent.tobytes()]})
 
-    rows_in = good.withColumn("block", salt("vec", salts=row_blocks)).groupBy("block").applyInPandas(index, "block int, ids binary, starts binary, vectors binary, codes binary")
+    rows_in = good.withColumn("block", salt("vec", salts=row_blocks)).groupBy("block").applyInPandas(index, "block int, ids binary, starts binary, vectors binary, codes binary, extent binary")
     asked = good.where(F.col("vec") % every == 0).withColumn("block", salt("vec", F.lit("query"), salts=query_blocks)).groupBy("block").applyInPandas(block, "block int, ids binary, vectors binary")
     # an index block goes to every query block and the other way round: each pair of blocks is one row of the join
-    left = materialize(rows_in, "index").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("q", F.col("block").alias("b"), "ids", "starts", "vectors", "codes")
+    left = materialize(rows_in, "index").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("q", F.col("block").alias("b"), "ids", "starts", "vectors", "codes", "extent")
     right = materialize(asked, "queries").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)))).select(F.col("block").alias("q"), "b", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,9 +202,10 @@ def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_
                 ids, starts = np.frombuffer(r.ids, np.int64), np.frombuffer(r.starts, np.int64)
                 vectors = np.frombuffer(r.vectors, np.float64).reshape(-1, dims)
                 codes = np.frombuffer(r.codes, np.uint8).reshape(-1, len(vectors))
+                extent = np.frombuffer(r.extent, np.float32).reshape(3, -1)
                 q_ids = np.frombuffer(r.q_ids, np.int64)
                 for own, query in zip(q_ids, np.frombuffer(r.q_vectors, np.float64).reshape(-1, dims), strict=True):
-                    a, s = _scan(books, query, own, vectors, codes, ids, starts, k, rerank)
+                    a, s = _scan(books, query, own, vectors, codes, extent, ids, starts, k, rerank)
                     yield pd.DataFrame({"query_id": np.full(len(a), own), "vec_id": a, "score": s})
 
     found = left.join(right, ["q", "b"]).mapInPandas(scan, "query_id long, vec_id long, score double")
