@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, exact_dedup, licenses, mixing, near_dedup, packing, quality
+from . import ann, chat_format, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality
 from .common import materialize, table
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -23,6 +23,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), carry=("url",))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -73,7 +78,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_near_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
