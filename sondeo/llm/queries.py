@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat_format, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality
+from . import ann, chat_format, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality, suffix_dedup
 from .common import materialize, table
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -23,6 +23,15 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = materialize(suffix_dedup.find_repeats(docs), "repeats")
+    left = suffix_dedup.remaining(docs, found).select("doc_id", F.sha2("kept", 256).alias("left_sha256"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    kept = F.when(removed == 0, F.col("whole_sha256")).when(removed == F.col("n_bytes"), F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("left_sha256"))
+    return found.join(left, "doc_id", "left").select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), kept.alias("kept_sha256"))
+
+
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), carry=("url",))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -78,7 +87,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
