@@ -96,6 +96,13 @@ def semi_join(rows: DataFrame, ids: DataFrame, col: str, most: int = 1_000_000)
     return rows.join(F.broadcast(ids) if small else ids, col, "left_semi")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python in batches of at most so many rows; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

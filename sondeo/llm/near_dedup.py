@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach_by_key, materialize, salt, semi_join, smallest_of_group
+from .common import attach_by_key, materialize, semi_join, small_batches, smallest_of_group
 from .components import connected_components
 
 WORDS = 5
@@ -23,6 +23,13 @@ RETAINED, SINGLES = 64, 16
 LONG_LIST = 48
 #: A pair goes on to the exact check if the union sketch says at least this Jaccard; 0.75 lies over four standard deviations higher.
 ESTIMATE = 0.5
+#: Signatures: of each of 64 hash bins two bits of its smallest value. Linked sets differ in 12 bins, give or take 3;
+#: pairs that differ in more than this, over five standard deviations, are not looked at.
+BINS, DIFFERING = 64, 28
+#: Turns in which every list is a star. Lists with more pairs across components left than this are then compared tile by tile.
+STARS, DENSE_PAIRS, TILE_ROWS = 2, 2_000, 512
+#: Texts that are hashed between two results.
+PART_ROWS = 512
 #: Bytes of text that are hashed at a time.
 PART_BYTES = 1 << 20
 
@@ -117,14 +124,27 @@ def _short(words: np.ndarray) -> np.ndarray:
     return mixed((words * _PLACES[: len(words)]).sum(keepdims=True) + np.uint64(len(words))) if len(words) else words
 
 
+def _signature(values: np.ndarray) -> tuple[int, int]:
+    """Two longs of 32 bins each; a bin without a value has the bits 00."""
+    bins, first = np.unique(values & np.uint64(BINS - 1), return_index=True)
+    bits = np.zeros(BINS, np.uint64)
+    bits[bins.astype(np.int64)] = mixed(values[first]) & np.uint64(3)
+    words = (bits.reshape(2, -1) << np.arange(0, BINS, 2, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return int(words[0]), int(words[1])
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, n, same (fingerprint of the whole set), sketch (the RETAINED smallest hashes) of every row."""
-    schema = T.StructType([T.StructField("doc", docs.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
+    """doc, n, same (fingerprint of the whole set), sketch (the RETAINED smallest hashes), s1 and s2 (signature) of every row."""
+    kinds = (("n", T.LongType()), ("same", T.BinaryType()), ("sketch", T.BinaryType()), ("s1", T.LongType()), ("s2", T.LongType()))
+    schema = T.StructType([T.StructField("doc", docs.schema[id_col].dataType), *(T.StructField(k, t) for k, t in kinds)])
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = shingle_sets(pdf["t"].tolist())
-            yield pd.DataFrame({"doc": pdf["d"], "n": [len(s) for s in sets], "same": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sketch": [s[:RETAINED].tobytes() for s in sets]})
+            for a in range(0, len(pdf), PART_ROWS):
+                part = pdf.iloc[a : a + PART_ROWS]
+                sets = shingle_sets(part["t"].tolist())
+                signs = [_signature(s) for s in sets]
+                yield pd.DataFrame({"doc": part["d"], "n": [len(s) for s in sets], "same": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sketch": [s[:RETAINED].tobytes() for s in sets], "s1": [x for x, _ in signs], "s2": [y for _, y in signs]})
 
     return docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t")).mapInPandas(sketch, schema)
 
@@ -198,6 +218,12 @@ def inverted_lists(reps: DataFrame, n_reps: int) -> DataFrame:
     return dealt.groupBy("part").applyInPandas(gather, "list long, doc long")
 
 
+def _alike(x: str, y: str) -> str:
+    """SQL: sizes and signatures of two sets allow a link."""
+    differ = " + ".join(f"bit_count((({x}s{i} ^ {y}s{i}) | shiftrightunsigned({x}s{i} ^ {y}s{i}, 1)) & {0x5555555555555555}L)" for i in (1, 2))
+    return f"100 * least({x}n, {y}n) >= {PERCENT} * greatest({x}n, {y}n) and {differ} <= {DIFFERING}"
+
+
 def _common(a: bytes, b: bytes) -> tuple[int, int, int]:
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     return len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
@@ -225,7 +251,7 @@ def likely(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     s = sketched.select("doc", "n", "sketch")
     a = s.toDF("a", "na", "sa")
     b = s.toDF("b", "nb", "sb")
-    return pairs.join(a, "a").join(b, "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)").select("a", "b", "na", "nb", "sa", "sb").mapInPandas(look, "a long, b long")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb").mapInPandas(look, "a long, b long")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -233,7 +259,9 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc": pdf["doc"], "hashes": [s.tobytes() for s in shingle_sets(pdf["t"].tolist())]})
+            for a in range(0, len(pdf), PART_ROWS):
+                part = pdf.iloc[a : a + PART_ROWS]
+                yield pd.DataFrame({"doc": part["doc"], "hashes": [s.tobytes() for s in shingle_sets(part["t"].tolist())]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("t"))
     return semi_join(rows, ids, "doc").mapInPandas(sets, "doc long, hashes binary").dropDuplicates(["doc"])
@@ -250,43 +278,117 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").mapInPandas(look, "a long, b long")
 
 
+def _tile_links(a: pd.Series, b: pd.Series | None) -> list[tuple[int, int]]:
+    """Links between the documents of two tiles, or of one, that join different components: a spanning forest of them."""
+    sides = [a] if b is None else [a, b]
+    ids = np.concatenate([np.frombuffer(t["ids"], np.int64) for t in sides])
+    comp = np.concatenate([np.frombuffer(t["comps"], np.int64) for t in sides])
+    size = np.concatenate([np.frombuffer(t["sizes"], np.int64) for t in sides])
+    of = np.repeat(np.arange(len(ids)), size)
+    _, value, times = np.unique(np.concatenate([np.frombuffer(t["hashes"], np.uint64) for t in sides]), return_inverse=True, return_counts=True)
+    shared = times[value] > 1
+    of, value = of[shared], np.unique(value[shared], return_inverse=True)[1].ravel()
+    split = len(ids) if b is None else len(np.frombuffer(a["ids"], np.int64))
+    common = np.zeros((split, len(ids) if b is None else len(ids) - split), np.float32)
+    order = np.argsort(value, kind="stable")
+    of, value = of[order], value[order]
+    for low in range(0, int(value[-1]) + 1 if len(value) else 0, 2048):
+        x, y = np.searchsorted(value, [low, low + 2048])
+        there = np.zeros((len(ids), 2048), np.float32)
+        there[of[x:y], value[x:y] - low] = 1
+        common += there[:split] @ (there if b is None else there[split:]).T
+    other = slice(None) if b is None else slice(split, None)
+    both = size[:split, None] + size[None, other]
+    hits = np.argwhere((100 * common >= PERCENT * (both - common)) & (comp[:split, None] != comp[None, other]))
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = parent.get(up, up)
+            c = up
+        return c
+
+    out = []
+    for i, j in hits:
+        j = j if b is None else j + split
+        x, y = root(int(comp[i])), root(int(comp[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+    return out
+
+
+def linked_in_tiles(dense: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) that join different components within dense lists (list, doc, rows, comp), found on full sets.
+
+    A document's home is the largest of its dense lists, and homes are dealt into tiles of about TILE_ROWS documents.
+    Two tiles that meet in a list are compared as matrices, once, however many lists they meet in: rows are made for
+    pairs of tiles and for links found, never for pairs of documents.
+    """
+    home = dense.groupBy("doc").agg(F.max_by(F.struct("list", "rows"), F.struct("rows", "list")).alias("h"), F.first("comp").alias("comp"))
+    parts = F.ceil(F.col("h.rows") / TILE_ROWS).cast("int")
+    tiled = materialize(home.select("doc", "comp", F.xxhash64("h.list", F.pmod(F.xxhash64("doc"), parts)).alias("tile")), "tiles")
+    meet = dense.select("list", "doc").join(tiled.select("doc", "tile"), "doc").select("list", "tile").distinct()
+    pairs = meet.toDF("list", "tile_a").join(meet.toDF("list", "tile_b"), "list").where("tile_a <= tile_b").select("tile_a", "tile_b").distinct()
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        sizes = np.array([len(h) // 8 for h in pdf["hashes"]], np.int64)
+        return pd.DataFrame({"tile": pdf["tile"].iloc[:1].to_numpy(), "ids": [pdf["doc"].to_numpy(np.int64).tobytes()], "comps": [pdf["comp"].to_numpy(np.int64).tobytes()], "sizes": [sizes.tobytes()], "hashes": [b"".join(pdf["hashes"])]})
+
+    sets = full_sets(docs, tiled.select("doc"), id_col, text_col)
+    tiles = materialize(tiled.join(sets, "doc").groupBy("tile").applyInPandas(gather, "tile long, ids binary, comps binary, sizes binary, hashes binary"), "tile-sets")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, r in pdf.iterrows():
+                a = r[["ids", "comps", "sizes", "hashes"]]
+                b = None if r["tile_a"] == r["tile_b"] else pd.Series({c: r[f"{c}_b"] for c in ("ids", "comps", "sizes", "hashes")})
+                yield pd.DataFrame(_tile_links(a, b), columns=["a", "b"]).astype(np.int64)
+
+    other = tiles.toDF("tile_b", *(f"{c}_b" for c in ("ids", "comps", "sizes", "hashes")))
+    return pairs.join(tiles.withColumnRenamed("tile", "tile_a"), "tile_a").join(other, "tile_b").mapInPandas(look, "a long, b long")
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_shingles, component_id, kept.
 
     Rows with the same set are one class; its smallest id stands for it. Inverted lists of retained hash values propose
-    pairs. Every list is a star first: its documents are compared with one of them, those that link become components,
+    pairs. Sizes and signatures spare most pairs that can't link. Every list is a star first: its documents are compared with one of them, those that link become components,
     and only pairs of a list that are still in different components go on, so a group of n near copies costs about n
-    comparisons, not n * n. When few such pairs are left, all of them are compared: no list, list length or number of
-    partners is cut off. Links are confirmed on the full sets.
+    comparisons, not n * n. After STARS turns all pairs left are compared, those of lists with many left tile by tile: no
+    list, list length or number of partners is cut off. Links are confirmed on the full sets.
 
     Null and empty texts, and texts without words, have an empty set and no link. Ids are integers, and a row that repeats
     an id repeats its text; rows without an id only count as copies. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     rows = materialize(sketches(docs, id_col, text_col).withColumn("doc", F.col("doc").cast("long")), "sketches")
     classes = smallest_of_group(rows.where("n > 0").select("doc", "same"), ["same"], "doc")
     reps = materialize(classes.where("doc = keep_id").select("doc").distinct().join(rows.where("n > 0").dropDuplicates(["doc"]), "doc"), "reps")
     lists = materialize(inverted_lists(reps, reps.count()), "lists")
-    entries = lists.count()
-    sizes = reps.select("doc", "n")
+    sizes = reps.select("doc", "n", "s1", "s2")
     found = checked = component = sets = None
-    for turn in range(8):
+    for turn in range(STARS + 1):
         own = lists.join(sizes, "doc")
         own = own.withColumn("comp", F.col("doc")) if component is None else own.join(component, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-        own = own.select("list", "doc", "n", "comp")
+        own = own.select("list", "doc", "n", "s1", "s2", "comp")
         mixed_lists = own.groupBy("list").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("list")
         own = materialize(own.join(mixed_lists, "list", "left_semi"), "open")
         by_comp = own.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("k"))
-        crossing = by_comp.groupBy("list").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("k")).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k")).head()["k"]
-        last = crossing <= 2 * entries or turn == 7
+        last = turn == STARS
         if last:
             # all pairs left: those of documents outside a list's largest component with one another and with that component
-            top = by_comp.groupBy("list").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"))
+            by_list = by_comp.groupBy("list").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.sum("k").alias("rows"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("left"))
+            by_list = materialize(by_list, "left")
+            dense = own.join(by_list.where(F.col("left") > DENSE_PAIRS).select("list", "rows"), "list").select("list", "doc", "rows", "comp")
+            in_tiles = linked_in_tiles(dense, docs, id_col, text_col)
+            top = by_list.where(F.col("left") <= DENSE_PAIRS).select("list", "top")
             marked = own.join(top, "list")
-            rest = marked.where("comp <> top").select("list", F.col("doc").alias("a_"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            pairs = rest.join(marked, "list").where("comp <> ca and (comp = top or a_ < doc) and 100 * least(n, na) >= 75 * greatest(n, na)").select(F.least("a_", "doc").alias("a"), F.greatest("a_", "doc").alias("b"))
+            rest = marked.where("comp <> top").select("list", *(F.col(x).alias(f"o_{x}") for x in ("doc", "n", "s1", "s2", "comp")))
+            pairs = rest.join(marked, "list").where(f"comp <> o_comp and (comp = top or o_doc < doc) and {_alike('', 'o_')}").select(F.least("o_doc", "doc").alias("a"), F.greatest("o_doc", "doc").alias("b"))
         else:
-            head = own.groupBy("list").agg(F.min_by(F.struct("doc", "comp", "n"), F.xxhash64("doc", F.lit(turn))).alias("h"))
-            pairs = own.join(head, "list").where("comp <> h.comp and 100 * least(n, h.n) >= 75 * greatest(n, h.n)").select(F.least("doc", "h.doc").alias("a"), F.greatest("doc", "h.doc").alias("b"))
+            head = own.groupBy("list").agg(F.min_by(F.struct("doc", "comp", "n", "s1", "s2"), F.xxhash64("doc", F.lit(turn))).alias("h"))
+            pairs = own.join(head, "list").where(f"comp <> h.comp and {_alike('', 'h.')}").select(F.least("doc", "h.doc").alias("a"), F.greatest("doc", "h.doc").alias("b"))
         pairs = pairs.distinct()
         pairs = materialize(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = pairs if checked is None else checked.union(pairs)
@@ -294,7 +396,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ids = close.select(F.col("a").alias("doc")).union(close.select("b")).distinct()
         sets_now = materialize(full_sets(docs, ids if sets is None else ids.join(sets.select("doc"), "doc", "left_anti"), id_col, text_col), "sets")
         sets = sets_now if sets is None else sets.union(sets_now)
-        new = materialize(linked(close, sets), "linked")
+        new = materialize(linked(close, sets).union(in_tiles) if last else linked(close, sets), "linked")
         found = new if found is None else found.union(new)
         component = materialize(connected_components(found).select(F.col("node").alias("doc"), F.col("component").alias("comp")), "components")
         if last:
