@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
 from .html_blocks import Leaf, leaves
 
 PATH_DIMS, WORD_DIMS, OTHER_DIMS, HIDDEN = 96, 24, 6, 20
@@ -226,6 +227,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", c
     every leaf block of every whole page, long or short. Null and empty pages, and pages without main text, have the
     empty text. Ties and repeated rows get the same text; an empty table gives no rows.
     """
+    small_batches(pages.sparkSession)
     sample = [r["h"] for r in pages.where(F.col(html_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).select(F.col(html_col).alias("h")).limit(FIT_PAGES).collect()]
     model = fit_labeller(sample)
     schema = T.StructType([T.StructField("_id", pages.schema[id_col].dataType), *(T.StructField(f"_c_{c}", pages.schema[c].dataType) for c in carry), T.StructField("text", T.StringType())])

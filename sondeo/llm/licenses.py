@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: Phrases and their labels. Fixed values of the contract.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
@@ -119,6 +121,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     1 for a base phrase, 0 without either. Null and empty texts have no words: counts 0, places null, labels "". Every
     row is scanned whole and alone, so neither ties nor repeated rows matter; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     join = Join(word_counts(docs, text_col))
     phrases = [(b" " + p.encode() + b" ", label) for p, label in PHRASES.items()]
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_base", "first_word", "last_word")), T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()), T.StructField("score", T.DoubleType())])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, rank_within
+from .common import materialize, rank_within, small_batches
 
 CAPACITY = 1024
 END_ID = 2
@@ -63,6 +63,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     A document is its tokens and END_ID. Only a longer one is cut: its last pieces are full, its first holds the rest.
     A null or empty text is END_ID alone.
     """
+    small_batches(docs.sparkSession)
     schema = T.StructType([docs.schema[id_col], T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .common import small_batches
 
 FEATURES = ("log_chars", "log_words", "word_length", "upper", "digits", "spaces", "marks", "symbols", "bars", "exclaims", "distinct_words", "distinct_lines", "line_length", "entropy", "stops", "symbol_words")
 #: Shares of the pooled covariance and of the identity in each class's covariance.
@@ -64,15 +65,14 @@ def statistics(text: str | None) -> list[float]:
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text", name: str = "_stats") -> DataFrame:
-    """docs with one more column: the FEATURES of each text."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])
+    """docs with one more column: the FEATURES of each text. Only texts go to Python, only numbers come back."""
+    small_batches(docs.sparkSession)
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf[name] = [statistics(x if isinstance(x, str) else None) for x in pdf[text_col]]
-            yield pdf
+    @F.pandas_udf("array<double>")
+    def add(texts: pd.Series) -> pd.Series:
+        return pd.Series([statistics(x if isinstance(x, str) else None) for x in texts])
 
-    return docs.mapInPandas(add, schema)
+    return docs.withColumn(name, add(F.col(text_col)))
 
 
 @dataclass
@@ -146,14 +146,12 @@ def fit(labelled: DataFrame, stats: str = "_stats", label: str = "quality") -> D
 
 def with_scores(rows: DataFrame, model: Discriminant, stats: str = "_stats", name: str = "score") -> DataFrame:
     """rows with the model's score in place of the statistics."""
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != stats), T.StructField(name, T.DoubleType())])
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = np.array(pdf[stats].tolist(), float).reshape(len(pdf), len(FEATURES))
-            yield pdf.drop(columns=stats).assign(**{name: model.scores(x)})
+    @F.pandas_udf("double")
+    def add(values: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(np.array(values.tolist(), float).reshape(len(values), len(FEATURES))))
 
-    return rows.mapInPandas(add, schema)
+    return rows.withColumn(name, add(F.col(stats))).drop(stats)
 
 
 def one_label(labels: DataFrame, id_col: str = "doc_id", label: str = "quality") -> DataFrame:
