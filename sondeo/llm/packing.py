@@ -16,10 +16,12 @@ from .common import materialize, rank_within, small_batches
 
 CAPACITY = 1024
 END_ID = 2
-#: Pieces over this share of the capacity are large; they go into configurations of groups.
+#: Pieces over this share of the capacity are large; they go into configurations of groups, of at most four pieces.
 LARGE = 1 / 5
 #: Groups of large lengths, of about equal cardinality.
-GROUPS = 256
+GROUPS = 512
+#: Columns priced per group at most; what is feasible by then is used, and best fit takes the rest.
+PRICINGS = 24
 SPECIAL = "<|endoftext|>"
 
 
@@ -94,34 +96,37 @@ def _equal_groups(counts: np.ndarray, large: int, groups: int) -> np.ndarray:
 
 
 def _configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations (how many of each size) and how often each is used: the linear relaxation by column generation, rounded down."""
+    """Configurations (how many of each size) and how often each is used: the linear relaxation by column generation, rounded down.
+
+    Every size is over a fifth of the capacity, so a configuration has at most four pieces.
+    """
     m = len(sizes)
     size, need = np.array(sizes), np.array(demand, float)
     columns = [np.eye(m, dtype=int)[i] * (capacity // s) for i, s in enumerate(sizes)]
     basis = np.array(columns, float).T
     inverse = np.linalg.inv(basis)
     use = inverse @ need
-    for step in range(40 * m):
-        price = inverse.sum(axis=0)
-        best = np.zeros(capacity + 1)
-        take = np.full(capacity + 1, -1)
-        order = np.argsort(-price / size)
-        for i in order:  # unbounded knapsack, one size after the other
-            s, p = size[i], price[i]
-            if p <= 1e-9:
-                break
-            for a in range(s, capacity + 1, s):
-                b = min(a + s, capacity + 1)
-                better = best[a - s : b - s] + p > best[a:b] + 1e-12
-                best[a:b] = np.where(better, best[a - s : b - s] + p, best[a:b])
-                take[a:b] = np.where(better, i, take[a:b])
-        at = int(np.argmax(best))
-        if best[at] < 1 + 1e-6:
+    # two of the sizes, or one, or none, by their sum: a configuration is two such pairs
+    i, j = np.triu_indices(m + 1)
+    total = np.append(size, 0)[i] + np.append(size, 0)[j]
+    by_sum = np.argsort(total, kind="stable")[: int((total <= capacity).sum())]
+    i, j, total = i[by_sum], j[by_sum], total[by_sum]
+    sums, first = np.unique(total, return_index=True)
+    rest = np.searchsorted(sums, capacity - sums, side="right") - 1
+    for step in range(PRICINGS * m):
+        price = np.append(np.maximum(inverse.sum(axis=0), 0), 0)
+        worth = price[i] + price[j]
+        best = np.maximum.reduceat(worth, first)
+        upto = np.maximum.accumulate(best)
+        at = int(np.argmax(best + upto[rest]))
+        if best[at] + upto[rest[at]] < 1 + 1e-5:
             break
-        column = np.zeros(m, int)
-        while at > 0 and take[at] >= 0:
-            column[take[at]] += 1
-            at -= size[take[at]]
+        column = np.zeros(m + 1, int)
+        for k in (at, int(np.argmax(best[: rest[at] + 1]))):
+            pair = first[k] + int(np.argmax(worth[first[k] : (first[k + 1] if k + 1 < len(first) else len(worth))]))
+            column[i[pair]] += 1
+            column[j[pair]] += 1
+        column = column[:m]
         direction = inverse @ column
         ratio = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
         out = int(np.argmin(ratio))
@@ -186,7 +191,7 @@ def arrange(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS,
     if counts[capacity]:
         out.append((capacity, 0, 0, 0))
     next_bin = int(counts[capacity])
-    large = max(2, int(capacity * large_share))
+    large = max(capacity // 5 + 1, int(capacity * large_share))
     body = counts.copy()
     body[capacity] = 0
     up = _equal_groups(body, large, groups)
