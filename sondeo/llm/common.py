@@ -96,6 +96,12 @@ def semi_join(rows: DataFrame, ids: DataFrame, col: str, most: int = 1_000_000)
     return rows.join(F.broadcast(ids) if small else ids, col, "left_semi")
 
 
+def only_kept(docs: DataFrame, kept: DataFrame, col: str) -> DataFrame:
+    """The rows of docs whose id is in kept, one for each id, and all rows without an id."""
+    known = docs.where(F.col(col).isNotNull()).join(kept.where(F.col(col).isNotNull()), col, "left_semi").dropDuplicates([col])
+    return known.select(*docs.columns).union(docs.where(F.col(col).isNull()))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts go to Python in batches of at most so many rows; a smaller setting of the session stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, smallest_of_group
+from .common import materialize, only_kept, smallest_of_group
 
 #: White space that counts as one space. Fixed value of the contract.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -60,6 +60,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose text an earlier id has; a row that repeats an id and its text stays once."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(id_col)
-    return docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    """docs without the rows whose text an earlier id has; a row that repeats an id and its text stays once, rows without an id stay."""
+    return only_kept(docs, exact_groups(docs, id_col, text_col).where("kept").select(id_col), id_col)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach_by_key, materialize, semi_join, small_batches, smallest_of_group
+from .common import attach_by_key, materialize, only_kept, semi_join, small_batches, smallest_of_group
 from .components import connected_components
 
 WORDS = 5
@@ -401,13 +401,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         component = materialize(connected_components(found).select(F.col("node").alias("doc"), F.col("component").alias("comp")), "components")
         if last:
             break
-    by_class = reps.select("same", "doc").join(component, "doc", "left").select("same", F.coalesce("comp", "doc").alias("component_id"))
+    by_class = rows.where("n > 0").groupBy("same").agg(F.min("doc").alias("doc")).join(component, "doc", "left").select("same", F.coalesce("comp", "doc").alias("component_id"))
     linked_rows = attach_by_key(rows.where("n > 0").select("doc", "n", "same"), ["same"], by_class, ["doc"])
     out = linked_rows.select("doc", "n", "component_id").union(rows.where("n = 0").select("doc", "n", F.col("doc").alias("component_id")))
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component, the one with the smallest id; others and their columns are unchanged."""
-    kept = near_components(docs, id_col, text_col).where("kept").select(id_col)
-    return docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    """docs with one document of each component, the one with the smallest id; rows without an id stay, columns are unchanged."""
+    return only_kept(docs, near_components(docs, id_col, text_col).where("kept").select(id_col), id_col)
