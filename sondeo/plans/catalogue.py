@@ -6,6 +6,7 @@ The tables hold no broken texts, so some queries break rows first, by a rule on
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -277,7 +278,7 @@ def text_diagnostics(spark, sf_dir):
 
 
 def _through(spark: SparkSession, df: DataFrame, name: str, write: Callable[[Warehouse, DataFrame, str], None]) -> DataFrame:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"{name}_{uuid.uuid4().hex}"  # a warehouse may still hold the folder of a table that this catalogue doesn't know
     write(Warehouse(spark), df, name)
     return spark.table(name)
 
@@ -310,8 +311,7 @@ def positional_concat(spark, sf_dir):
 
 @query("SELECT page_id, CASE WHEN contains(lower(f), 'bm') THEN 'BM' WHEN contains(lower(f), 'bv') THEN 'BV' ELSE 'error' END AS file_type FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'submit_bv' WHEN 1 THEN 'AGOSTO_BV' WHEN 2 THEN 'agosto_bm_2025' ELSE url END AS f FROM pages)")
 def route_file_type(spark, sf_dir):
-    k, f = F.col("page_id") % 4, F.lower(F.when(F.col("page_id") % 4 == 0, "submit_bv").when(F.col("page_id") % 4 == 1, "AGOSTO_BV").when(F.col("page_id") % 4 == 2, "agosto_bm_2025").otherwise(F.col("url")))
-    del k
+    f = F.lower(F.when(F.col("page_id") % 4 == 0, "submit_bv").when(F.col("page_id") % 4 == 1, "AGOSTO_BV").when(F.col("page_id") % 4 == 2, "agosto_bm_2025").otherwise(F.col("url")))
     return table(spark, sf_dir, "pages").select("page_id", F.when(F.contains(f, F.lit("bm")), "BM").when(F.contains(f, F.lit("bv")), "BV").otherwise("error").alias("file_type"))
 
 
