@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -158,6 +159,22 @@ def test_repeated_strings(spark, tmp_path):
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], r.doc_id
 
 
+def test_anchors_with_many_surroundings(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LONG_LANE", 150)
+    middle = "the middle gram of all of them"
+    texts = [(f"left{k % 7}side{k % 5} " * 3 + middle + f" right{k % 4}end{k % 3}" * 3).encode() for k in range(40)]
+    ids = np.arange(40)
+    got = suffix_dedup._label(np.array([5, 6] * 20, np.uint64), texts, ids, ids)
+    for parity in (0, 1):
+        having = {}
+        for k in range(parity, 40, 2):
+            for w in range(len(texts[k]) - 49):
+                having.setdefault(texts[k][w : w + 50], set()).add(k)
+        for k in range(parity, 40, 2):
+            want = [having[texts[k][w : w + 50]] for w in range(len(texts[k]) - 49)]
+            assert got[k].tolist() == [min(h) if len(h) > 1 else suffix_dedup.NO_DOC for h in want]
+
+
 def test_repeats_on_small_table(spark):
     docs = spark.read.parquet(f"{SMALLER}/documents.parquet")
     want = brute_repeats([(r.doc_id, r.text) for r in docs.collect()])
