@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, salt
+from .common import bounded_sample, materialize, salt
 
 #: Rows that the codebooks are fitted to, at most.
 FIT_ROWS = 16_384
@@ -159,7 +159,7 @@ def _scan(books: Codebooks, query: np.ndarray, own: int, vectors: np.ndarray, co
 def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, the k other rows with the largest inner products found.
 
-    Codebooks are fitted to at most FIT_ROWS rows, the smallest by a hash of the id; every row is indexed. Queries and
+    Codebooks are fitted to at most FIT_ROWS rows, picked by a hash of the id; every row is indexed. Queries and
     rows are dealt into blocks of bounded size, and each pair of blocks is one scan: four-bit codes of the block's
     different vectors; RERANK of them, and all others that may be as near, are scored exactly in double precision. The best of all blocks stay, nearest first,
     ties to the smaller id. Vectors null, zero, with null or non-finite components or (of the fewer) another length take
@@ -172,7 +172,7 @@ def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_
         return good.select(F.col("vec").alias("query_id"), F.lit(1).alias("rank"), F.col("vec").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     dims, n = shape[0]
     good = good.where(F.size("v") == dims)
-    sample = good.orderBy(F.xxhash64("vec"), "vec").limit(FIT_ROWS).toPandas()
+    sample = bounded_sample(good, "vec", FIT_ROWS).orderBy("vec").toPandas()
     books = Codebooks.fit(np.array(sample["v"].tolist(), np.float32))
     row_blocks, query_blocks = -(-n // BLOCK_ROWS), max(1, -(-n // every // QUERY_ROWS))
 

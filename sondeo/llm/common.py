@@ -74,13 +74,13 @@ def smallest_of_group(rows: DataFrame, keys: list[str], id_col: str, salts: int
     return attach_by_key(rows, keys, sums, [id_col], salts, parts)
 
 
-def rank_within(rows: DataFrame, key: str, order: list[str], total: int, part_rows: int = 50_000) -> DataFrame:
+def rank_within(rows: DataFrame, key: str, order: list[str], total: int, part_rows: int = 20_000) -> DataFrame:
     """rows with rank: 0, 1, ... within each (non-null) key, the same on every run.
 
     Rows are dealt into hashed parts of about part_rows; a key's ranks count on from part to part, so only the
     number of parts, never a key's rows, meets in one task.
     """
-    n = max(8, -(-total // part_rows))
+    n = max(64, -(-total // part_rows))
     parts = rows.withColumn("_part", salt(*order, salts=n))
     counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,6 +96,13 @@ def semi_join(rows: DataFrame, ids: DataFrame, col: str, most: int = 1_000_000)
     return rows.join(F.broadcast(ids) if small else ids, col, "left_semi")
 
 
+def bounded_sample(rows: DataFrame, id_col: str, n: int) -> DataFrame:
+    """At most n rows, the same on every run: of n hashed buckets of ids, one id each. Partial sums and the result are bounded by n, whatever the table's size."""
+    known = rows.where(F.col(id_col).isNotNull())
+    picked = known.groupBy(salt(id_col, F.lit("sample"), salts=n).alias("_bucket")).agg(F.min_by(id_col, F.xxhash64(id_col)).alias(id_col)).select(id_col)
+    return known.join(F.broadcast(picked), id_col, "left_semi").limit(n)
+
+
 def only_kept(docs: DataFrame, kept: DataFrame, col: str) -> DataFrame:
     """The rows of docs whose id is in kept, one for each id, and all rows without an id."""
     known = docs.where(F.col(col).isNotNull()).join(kept.where(F.col(col).isNotNull()), col, "left_semi").dropDuplicates([col])

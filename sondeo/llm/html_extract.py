@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import bounded_sample, small_batches
 from .html_blocks import Leaf, leaves
 
 PATH_DIMS, WORD_DIMS, OTHER_DIMS, HIDDEN = 96, 24, 6, 20
@@ -223,12 +223,12 @@ def fit_labeller(sample: list[str]) -> Labeller:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of pages: id_col, the carried columns and text: its main blocks in their order, joined by a line feed.
 
-    The labeller is fitted to FIT_PAGES pages (the smallest by a hash of the id) and MADE_PAGES made-up ones, then sees
+    The labeller is fitted to FIT_PAGES pages at most (picked by a hash of the id) and MADE_PAGES made-up ones, then sees
     every leaf block of every whole page, long or short. Null and empty pages, and pages without main text, have the
     empty text. Ties and repeated rows get the same text; an empty table gives no rows.
     """
     small_batches(pages.sparkSession)
-    sample = [r["h"] for r in pages.where(F.col(html_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).select(F.col(html_col).alias("h")).limit(FIT_PAGES).collect()]
+    sample = [r["h"] for r in bounded_sample(pages.where(F.col(html_col).isNotNull()).select(id_col, F.col(html_col).alias("h")), id_col, FIT_PAGES).orderBy(id_col).collect()]
     model = fit_labeller(sample)
     schema = T.StructType([T.StructField("_id", pages.schema[id_col].dataType), *(T.StructField(f"_c_{c}", pages.schema[c].dataType) for c in carry), T.StructField("text", T.StringType())])
 
