@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,8 @@ TEMPLATES = (
 CONTAINMENT = Fraction(4, 5)
 #: A block is a line; a longer line gives windows of so many words, each half in the next.
 BLOCK_WORDS = 128
+#: A statement may run over lines, within so many times its template's number of words (line wraps, comment marks between).
+SPREAD = 2
 
 #: Letters in lower case, digits and all bytes of other scripts stand for themselves; the rest parts words.
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -74,6 +78,7 @@ class Join:
     def __init__(self, counts: dict[bytes, int]):
         self.order = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0])))}
         self.templates = [(label, sorted(self.order[w] for w in t), math.ceil(CONTAINMENT * len(t))) for label, t in template_sets()]
+        self.widths = [SPREAD * len(encoded(t).translate(_WORD_BYTES).split()) for _, t in TEMPLATES]
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
         for k, (_, words, least) in enumerate(self.templates):
             for i, w in enumerate(words[: len(words) - least + 1]):
@@ -81,8 +86,8 @@ class Join:
         words_by_place = {i: w for w, i in self.order.items()}
         self.prefix_words = frozenset(words_by_place[i] for i in self.prefixes)
 
-    def matches(self, block: list[bytes]) -> Iterator[tuple[str, float]]:
-        """Labels and containments of all templates that the block holds to the threshold."""
+    def held(self, block: list[bytes]) -> Iterator[tuple[int, int]]:
+        """All templates that the block holds to the threshold, with the number of their words in it."""
         own = sorted(self.order[w] for w in set(block) if w in self.order)
         if not own:
             return
@@ -90,7 +95,7 @@ class Join:
         known = set(own)
         for j, w in enumerate(own):
             for k, i in self.prefixes.get(w, ()):
-                label, words, least = self.templates[k]
+                _, words, least = self.templates[k]
                 if k in tried or len(own) < least:  # length filter
                     continue
                 tried.add(k)
@@ -99,7 +104,41 @@ class Join:
                     continue
                 common = sum(1 for x in words if x in known)
                 if common >= least:
-                    yield label, common / len(words)
+                    yield k, common
+
+    def matches(self, block: list[bytes]) -> Iterator[tuple[str, float]]:
+        """Labels and containments of all templates that the block holds to the threshold."""
+        for k, common in self.held(block):
+            label, words, _ = self.templates[k]
+            yield label, common / len(words)
+
+    def matches_across(self, text: list[bytes]) -> Iterator[tuple[str, float]]:
+        """Labels and largest containments of all templates that some window of the text's words holds to the threshold.
+
+        Lines don't matter. A template's windows are all runs of SPREAD times its number of words, one from every word on.
+        """
+        places: list[tuple[int, int]] | None = None
+        for k, _ in self.held(text):
+            if places is None:
+                places = [(p, self.order[w]) for p, w in enumerate(text) if w in self.order]
+            label, words, least = self.templates[k]
+            known = set(words)
+            inside: deque[tuple[int, int]] = deque()
+            count = dict.fromkeys(words, 0)
+            different = best = 0
+            for p, w in places:
+                if w not in known:
+                    continue
+                inside.append((p, w))
+                different += not count[w]
+                count[w] += 1
+                while inside[0][0] <= p - self.widths[k]:
+                    gone = inside.popleft()[1]
+                    count[gone] -= 1
+                    different -= not count[gone]
+                best = max(best, different)
+            if best >= least:
+                yield label, best / len(words)
 
 
 def blocks(data: bytes) -> Iterator[list[bytes]]:
@@ -116,8 +155,8 @@ def blocks(data: bytes) -> Iterator[list[bytes]]:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Words are ordered by their number in all documents. A block matches a template if it holds CONTAINMENT of its words;
-    prefixes, lengths and positions only spare comparisons that can't match. score is the largest containment of a match,
+    Words are ordered by their number in all documents. A block matches a template if it holds CONTAINMENT of its words,
+    and so does a run of words across lines, at most SPREAD times as long as the template; prefixes, lengths and positions only spare comparisons that can't match. score is the largest containment of a match,
     1 for a base phrase, 0 without either. Null and empty texts have no words: counts 0, places null, labels "". Every
     row is scanned whole and alone, so neither ties nor repeated rows matter; an empty table gives no rows.
     """
@@ -135,7 +174,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 places: list[int] = []
                 base, more, score = set(), set(), 0.0
                 if not join.prefix_words.isdisjoint(words):
-                    for label, contained in (m for b in blocks(data) for m in join.matches(b)):
+                    for label, contained in chain((m for b in blocks(data) for m in join.matches(b)), join.matches_across(words)):
                         more.add(label)
                         score = max(score, contained)
                 flat = b" ".join([b"", *words, b""])

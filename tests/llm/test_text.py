@@ -108,6 +108,43 @@ def test_license_scan(docs, spark):
     assert licenses.scan(docs([(1, "x")]).where("doc_id > 1")).count() == 0
 
 
+WRAPPED = {
+    "mit": "# Permission is hereby granted, free of charge, to any person obtaining a\n# copy of this software and associated documentation files (the",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\r\n * are met:",
+    "mpl": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy",
+    "cc-by": "This work is licensed under a Creative\nCommons Attribution 4.0\n\nInternational License.",
+    "cc-by-nc": "rem This work is licensed under a Creative Commons\nrem Attribution-NonCommercial 4.0\nrem International License",
+    "apache": "you may not use this file except in compliance with the\nLicense. You may obtain a copy of the License at\n http://www.apache.org/licenses/",
+    "gpl": "\n".join("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation".split()),
+}
+
+
+def brute_windows(text):
+    found = {}
+    words = re.findall(r"[0-9a-z\x80-\U0010FFFF]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    for label, template in licenses.TEMPLATES:
+        own = re.findall(r"[0-9a-z]+", template.lower())
+        for a in range(max(1, len(words) - 2 * len(own) + 1)):
+            share = len(set(own) & set(words[a : a + 2 * len(own)])) / len(set(own))
+            if share >= 0.8:
+                found[label] = max(share, found.get(label, 0))
+    return found
+
+
+def test_license_statements_over_lines(docs):
+    texts = list(WRAPPED.values()) + [f"{'pad word ' * n}\n{t}\n{'more of it ' * n}" for n in (5, 61, 64, 200) for t in WRAPPED.values()]
+    texts.append("released " + "\nfar apart " * 20 + "\nunder the\nlicense")
+    got = {r.doc_id: r for r in licenses.scan(docs(list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        lines, windows = brute_templates(t), brute_windows(t)
+        assert set(filter(None, got[i].labels.split(","))) == set(filter(None, got[i].base_labels.split(","))) | lines.keys() | windows.keys(), t
+        assert got[i].score == (1.0 if got[i].n_base else max([*lines.values(), *windows.values()], default=0.0))
+    for k in range(5):
+        for i, label in enumerate(WRAPPED):
+            assert label in got[k * len(WRAPPED) + i].labels.split(",")
+    assert got[len(texts) - 1].labels == ""
+
+
 def test_quality_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null")
