@@ -15,6 +15,10 @@ from sondeo.llm.common import materialize, semi_join, table
 from sondeo.llm.queries import GOOD, vocabulary
 
 
+#: Target weights of the sources in the mix; None: those that mixing.mix() derives from their numbers of documents.
+WEIGHTS: dict[str, float] | None = None
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores GOOD or better. It learns from all labelled rows of docs that are not held out."""
     labels = quality.one_label(table(spark, sf_dir, "labels").where(~quality.held_out()))
@@ -40,12 +44,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which the schedule of the sources reads them."""
-    return mixing.in_mixed_order(docs)
+    return mixing.in_mixed_order(docs, WEIGHTS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
-    return packing.pack(docs.select("doc_id", "text"), vocabulary())
+    """Every piece of every document with its sequence and offset; sequences are filled and numbered in the order of the mix.
+
+    A table has no order that Parquet keeps, so the schedule gives each document its place again from (doc_id, source).
+    """
+    return packing.pack(docs.select("doc_id", "text"), vocabulary(), order=mixing.positions(docs.select("doc_id", "source"), WEIGHTS))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

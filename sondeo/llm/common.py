@@ -74,14 +74,15 @@ def smallest_of_group(rows: DataFrame, keys: list[str], id_col: str, salts: int
     return attach_by_key(rows, keys, sums, [id_col], salts, parts)
 
 
-def rank_within(rows: DataFrame, key: str, order: list[str], total: int, part_rows: int = 20_000) -> DataFrame:
+def rank_within(rows: DataFrame, key: str, order: list[str], total: int, part_rows: int = 20_000, part: Column | None = None) -> DataFrame:
     """rows with rank: 0, 1, ... within each (non-null) key, the same on every run.
 
     Rows are dealt into hashed parts of about part_rows; a key's ranks count on from part to part, so only the
-    number of parts, never a key's rows, meets in one task.
+    number of parts, never a key's rows, meets in one task. part: the number of a row's part instead of a hash; where it
+    never falls in the given order, ranks follow that order from the first row to the last.
     """
     n = max(64, -(-total // part_rows))
-    parts = rows.withColumn("_part", salt(*order, salts=n))
+    parts = rows.withColumn("_part", salt(*order, salts=n) if part is None else part)
     counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(key, "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))

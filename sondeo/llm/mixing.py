@@ -120,8 +120,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, smoothing: flo
     return ranked.mapInPandas(place, schema).withColumnRenamed("_id", id_col)
 
 
+def positions(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id") -> DataFrame:
+    """(id_col, _position): one row per id, its first position in the mix; the same for the same documents and weights."""
+    return mix(docs, weights, id_col=id_col).groupBy(id_col).agg(F.min("position").alias("_position"))
+
+
 def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id") -> DataFrame:
     """docs, all of them and unchanged, sorted by their position in the mix."""
-    at = mix(docs, weights, id_col=id_col).groupBy(id_col).agg(F.min("position").alias("_position"))
-    a, b = docs.alias("a"), at.alias("b")
+    a, b = docs.alias("a"), positions(docs, weights, id_col).alias("b")
     return a.join(b, F.col(f"a.{id_col}").eqNullSafe(F.col(f"b.{id_col}"))).orderBy("b._position").select("a.*")

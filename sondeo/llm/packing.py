@@ -8,11 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, rank_within, small_batches
+from .common import attach_by_key, materialize, rank_within, small_batches
 
 CAPACITY = 1024
 END_ID = 2
@@ -232,21 +232,32 @@ def arrange(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS,
     return out + more
 
 
-def place(pieces: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
-    """pieces with sequence_id and offset.
+def _part_of(position: str, most: int, total: int, part_rows: int = 20_000) -> Column:
+    """A part for rank_within() that grows with the position, so that about part_rows of total rows are in each."""
+    return F.expr(f"cast({position} div {most // max(64, -(-total // part_rows)) + 1} as int)")
+
+
+def place(pieces: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, groups: int = GROUPS, ordered: bool = False) -> DataFrame:
+    """pieces with sequence_id and offset. ordered: pieces have _position; it decides who goes first, and is left out.
 
     The driver gets one count per length (at most `capacity`) and arranges runs of equal pieces; a piece's rank among
-    those of its length then tells its place, so no task and not the driver ever lists the pieces.
+    those of its length then tells its place, so no task and not the driver ever lists the pieces. With positions, pieces
+    of a length take their places in that order, and a sequence is numbered by the position of the piece that begins it.
     """
-    found = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"), (F.max("_position") if ordered else F.lit(0)).alias("most")).collect()
     counts = np.zeros(capacity + 1, np.int64)
-    for n, k in found.items():
-        counts[n] = k
+    for r in found:
+        counts[r["length"]] = r["n"]
     runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     for n, rank, first, offset in arrange(counts, capacity, groups):
         runs[n].append((rank, first, offset))
     tables = {n: np.array(sorted(v), np.int64).T for n, v in runs.items()}
-    ranked = rank_within(pieces, "length", [id_col, "piece"], int(counts.sum()))
+    total = int(counts.sum())
+    if ordered:
+        part = _part_of("_position", max((r["most"] for r in found), default=0), total)
+        ranked = rank_within(pieces, "length", ["_position", id_col, "piece", "start", "ids_crc32"], total, part=part)
+    else:
+        ranked = rank_within(pieces, "length", [id_col, "piece"], total)
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,13 +269,23 @@ def place(pieces: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, g
                 sequence[at], offset[at] = firsts[k] + rank[at] - starts[k], offsets[k]
             yield pdf.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
-    return ranked.mapInPandas(look_up, schema)
+    placed = ranked.mapInPandas(look_up, schema)
+    if not ordered:
+        return placed
+    placed = materialize(placed, "placed")
+    heads = placed.where("offset = 0").select(F.lit(0).alias("_all"), "sequence_id", "_position")  # one of each sequence
+    numbers = rank_within(heads, "_all", ["_position", "sequence_id"], total, part=part).select("sequence_id", "rank")
+    return placed.join(numbers, "sequence_id").withColumn("sequence_id", F.col("rank")).select(*(c for c in placed.columns if c != "_position"))
 
 
-def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, groups: int = GROUPS, order: DataFrame | None = None) -> DataFrame:
     """token_pieces() and place(): every piece of every row, none left out.
 
     Rows that repeat an id are documents of their own. Ties of length are arranged by id and piece. An empty table gives
-    no rows. Columns other than the two named are not read.
+    no rows. Columns other than the two named are not read. order: (id_col, _position) with a row for each id of
+    docs (mixing.positions()); sequences are then filled and numbered by it.
     """
-    return place(materialize(token_pieces(docs, vocabulary, id_col, text_col, capacity), "pieces"), id_col, capacity, groups)
+    pieces = materialize(token_pieces(docs, vocabulary, id_col, text_col, capacity), "pieces")
+    if order is not None:
+        pieces = materialize(attach_by_key(pieces, [id_col], order, ["piece", "ids_crc32"]), "ordered-pieces")
+    return place(pieces, id_col, capacity, groups, ordered=order is not None)

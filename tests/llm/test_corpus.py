@@ -160,6 +160,33 @@ def test_residuals_along_vectors_cost_more():
     assert along(books.encode(x, 2)) < 0.9 * along(books.encode(x, 0))
 
 
+def test_weights_reach_the_rows_of_the_pipeline(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    source = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    many = [s for s, _ in Counter(source.values()).most_common(2)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    found = []
+    for weights in ({many[0]: 1000.0, many[1]: 1.0}, {many[0]: 1.0, many[1]: 1000.0}):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        rows = corpus_pipeline.run(spark, SMALL).collect()
+        again = corpus_pipeline.run(spark, SMALL).collect()
+        assert sorted(rows) == sorted(again)
+        heads = sorted((r for r in rows if r.offset == 0), key=lambda r: r.sequence_id)
+        assert [r.sequence_id for r in heads] == list(range(len({r.sequence_id for r in rows})))
+        at = {r.doc_id: r.position for r in mixing.mix(docs.select("doc_id", "source"), weights).collect()}
+        assert all(at[a.doc_id] <= at[b.doc_id] for a, b in zip(heads, heads[1:], strict=False))
+        end = {}
+        for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == end.get(r.sequence_id, 0)
+            end[r.sequence_id] = r.offset + r.length
+        assert max(end.values()) <= packing.CAPACITY
+        found.append((rows, [source[r.doc_id] for r in heads[: len(heads) // 4]]))
+    (one, first), (two, second) = found
+    assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in one) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in two)
+    assert {(r.doc_id, r.piece, r.sequence_id) for r in one} != {(r.doc_id, r.piece, r.sequence_id) for r in two}
+    assert first.count(many[0]) > second.count(many[0]) and first.count(many[1]) < second.count(many[1])
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "exact_dedup", "near_dedup", "source_mixing", "best_fit_packing"]
