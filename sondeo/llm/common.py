@@ -104,12 +104,19 @@ def bounded_sample(rows: DataFrame, id_col: str, n: int) -> DataFrame:
     return known.join(F.broadcast(picked), id_col, "left_semi").limit(n)
 
 
-def only_kept(docs: DataFrame, kept: DataFrame, col: str) -> DataFrame:
-    """The rows of docs whose id is in kept, one for each id, and all rows without an id."""
-    known = docs.where(F.col(col).isNotNull()).join(kept.where(F.col(col).isNotNull()), col, "left_semi").dropDuplicates([col])
+def only_kept(docs: DataFrame, kept: DataFrame, col: str, *more: str) -> DataFrame:
+    """The rows of docs whose id, and values of the further columns, are in kept, one for each, and all rows without an id."""
+    keys = [col, *more]
+    known = docs.where(F.col(col).isNotNull()).join(kept.where(F.col(col).isNotNull()), keys, "left_semi").dropDuplicates(keys)
     return known.select(*docs.columns).union(docs.where(F.col(col).isNull()))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts go to Python in batches of at most so many rows; a smaller setting of the session stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only_kept, smallest_of_group
+from .common import free_name, materialize, only_kept, smallest_of_group
 
 #: White space that counts as one space. Fixed value of the contract.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -60,5 +60,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose text an earlier id has; a row that repeats an id and its text stays once, rows without an id stay."""
-    return only_kept(docs, exact_groups(docs, id_col, text_col).where("kept").select(id_col), id_col)
+    """docs without the rows whose text an earlier id has; a row that repeats an id and its text stays once, different texts of one id all stay, and so do rows without an id."""
+    name = free_name(docs, "_digest")
+    digest = F.sha2(normalised(F.col(text_col)), 256)
+    kept = exact_groups(docs, id_col, text_col, carry={name: digest}).where("kept").select(id_col, name)
+    return only_kept(docs.withColumn(name, digest), kept, id_col, name).select(*docs.columns)

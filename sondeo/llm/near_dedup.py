@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach_by_key, materialize, only_kept, semi_join, small_batches, smallest_of_group
+from .common import attach_by_key, free_name, materialize, only_kept, rank_within, semi_join, small_batches, smallest_of_group
 from .components import connected_components
 
 WORDS = 5
@@ -408,5 +408,26 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component, the one with the smallest id; rows without an id stay, columns are unchanged."""
-    return only_kept(docs, near_components(docs, id_col, text_col).where("kept").select(id_col), id_col)
+    """docs with one document of each component, the one with the smallest id; rows without an id stay, columns are unchanged.
+
+    Where texts differ under one id each is a document of its own, after those of smaller ids.
+    """
+    digest = F.sha2(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), 256)
+    repeats = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(id_col)
+    repeats = materialize(repeats, "repeated-ids")
+    if repeats.isEmpty():
+        return only_kept(docs, near_components(docs, id_col, text_col).where("kept").select(id_col), id_col)
+    texts = materialize(semi_join(docs.select(id_col, digest.alias("_digest")), repeats, id_col).distinct(), "texts-of-ids")
+    # the n-th text of an id gets the id times `most` plus n, which keeps the order of ids
+    nth = materialize(rank_within(texts, id_col, ["_digest"], texts.count()), "nth-texts")
+    most = nth.agg(F.max("rank")).head()[0] + 1
+    low, high = docs.agg(F.min(id_col), F.max(id_col)).head()
+    if max(-low, high) * most + most >= 2**63:
+        raise ValueError(f"ids up to {max(-low, high)} leave no room to tell {most} texts of an id apart")
+    name, mark = free_name(docs, "_row_id"), free_name(docs, "_digest")
+    a, b = docs.withColumn(mark, digest).alias("a"), nth.select(F.col(id_col).alias("_of"), "_digest", "rank").alias("b")
+    own = a.join(b, (F.col(f"a.{id_col}") == F.col("b._of")) & (F.col(f"a.{mark}") == F.col("b._digest")), "left")
+    row_id = F.col(f"a.{id_col}").cast("long") * most + F.coalesce(F.col("b.rank"), F.lit(0))
+    own = materialize(own.select(*(F.col(f"a.{c}") for c in docs.columns), row_id.alias(name)), "own-ids")
+    kept = near_components(own.select(name, text_col), name, text_col).where("kept").select(name)
+    return only_kept(own, kept, name).select(*docs.columns)

@@ -88,6 +88,18 @@ def test_drop_near_copies_keeps_columns_and_one_of_each(docs):
     assert ids.count(None) == 2
 
 
+def test_different_texts_of_one_id_stay(docs):
+    one, two = prose(1, 80), prose(2, 80)
+    rows = [(5, one), (5, two), (5, two), (3, "x  y"), (4, "x y"), (4, "other"), (9, one), (None, two)]
+    out = exact_dedup.drop_exact_copies(docs(rows))
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted([(5, one), (5, two), (3, "x  y"), (4, "other"), (0, two)])
+    near = [(5, one), (5, two), (5, two), (3, two + " end"), (9, one + " end"), (7, ""), (7, ""), (None, two), (-2, prose(3, 80)), (-2, prose(4, 80))]
+    table = docs(near)
+    out = near_dedup.drop_near_copies(table)
+    assert out.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted([(5, one), (3, two + " end"), (7, ""), (0, two), (-2, prose(3, 80)), (-2, prose(4, 80))])
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 120)] + [(7, 7), (200, 201)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
