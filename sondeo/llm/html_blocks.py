@@ -12,7 +12,9 @@ BLOCK = frozenset(
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead tr ul button label".split()
 )
 #: Elements whose content is no text of the page, up to their end tag.
-RAW = frozenset("script style noscript template title textarea iframe noembed noframes xmp svg math select object canvas audio video".split())
+RAW = frozenset("script style noscript template title textarea iframe noembed noframes xmp svg select object canvas audio video".split())
+#: Of RAW, elements that hold plain characters: only their own end tag, or the page's end, ends them.
+PLAIN = frozenset("script style title textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a new one of the same kind ends.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -38,11 +40,37 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _end_of(page: str, tag: str, at: int, parents: set[str]) -> int:
+    """Where an element of RAW ends whose start tag ends at `at`: behind its end tag, or before that of a parent if this comes first."""
+    if tag in PLAIN:
+        end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+        return end.end() if end else len(page)
+    inside = [tag]
+    for m in iter(lambda: _TOKEN.search(page, at), None):
+        at = m.end()
+        name = (m[2] or m[5] or "").lower()
+        if not name or name in VOID:
+            continue
+        if not (m[1] or m[4]):
+            if name in PLAIN and name != tag:
+                at = _end_of(page, name, at, parents)
+            elif not (m[3] or m[6] or "").rstrip().endswith("/"):
+                inside.append(name)
+        elif name in inside:
+            del inside[len(inside) - 1 - inside[::-1].index(name) :]
+            if not inside:
+                return at
+        elif name in parents:
+            return m.start()
+    return len(page)
+
+
 def leaves(page: str | None) -> list[Leaf]:
     """The blocks of text of a page in their order. Character references are decoded, white space inside a block becomes one space.
 
-    Comments, scripts, styles and the head's title have no blocks. Unclosed elements end where a parent ends; an end tag
-    without its start, and a tag cut off by the page's end, count for nothing.
+    Comments, scripts, styles and the head's title have no blocks; formulas are text inside their block. Unclosed elements
+    end where a parent ends, scripts, styles, titles and text areas only with the page; an end tag without its start, and
+    a tag cut off by the page's end, count for nothing.
     """
     page = page or ""
     out: list[Leaf] = []
@@ -50,6 +78,7 @@ def leaves(page: str | None) -> list[Leaf]:
     pieces: list[str] = []
     links = linked = 0
     path: tuple[str, ...] = ()
+    inline: list[str] = []  # open elements inside the block
 
     def end_block() -> None:
         nonlocal linked
@@ -80,20 +109,26 @@ def leaves(page: str | None) -> list[Leaf]:
             continue
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
         if not closing and tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else n
+            if tag != "svg" or not attributes.rstrip().endswith("/"):
+                at = _end_of(page, tag, at, {x for x, _ in stack} | set(inline))
             if tag in BLOCK:
                 end_block()
             continue
         if tag == "br" or tag == "wbr":
             pieces.append(" " if tag == "br" else "")
             continue
+        if tag not in BLOCK and tag not in VOID:
+            if not closing and not attributes.rstrip().endswith("/"):
+                inline.append(tag)
+            elif closing and tag in inline:
+                del inline[len(inline) - 1 - inline[::-1].index(tag) :]
         if tag == "a":
             links = max(0, links - 1) if closing else links + 1
             continue
         if tag not in BLOCK:
             continue
         end_block()
+        inline.clear()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:

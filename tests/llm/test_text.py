@@ -17,6 +17,17 @@ def test_leaves_of_broken_markup():
     assert leaves(None) == leaves("") == [] and [x.text for x in leaves("plain < text")] == ["plain < text"]
 
 
+def test_unclosed_and_empty_elements_lose_no_text():
+    texts = lambda page: [x.text for x in leaves(page)]
+    assert texts("<p>a <svg width='1'/> b</p><p>c</p><svg><text>no</text></svg>d") == ["a b", "c", "d"]
+    assert texts("<p>a <math/> b <math><mi>x</mi><mo>=</mo><mn>1</mn></math> c</p><p>d</p>") == ["a b x=1 c", "d"]
+    for tag in ("object", "canvas", "audio", "video", "svg", "iframe", "template"):
+        assert texts(f"<div>a<{tag} id='x'>no<b>no</b></div><p>b</p>") == ["a", "b"]
+        assert texts(f"<p>a <span><{tag}>no</span> b</p><p>c<{tag}>no</{tag}>d</p>") == ["a b", "cd"]
+        assert texts(f"<p>a<{tag}><{tag}>no</{tag}>no<p>no</p></{tag}>b</p><p>c</p>") == ["ab", "c"]
+    assert texts("<div>a<script>no</div><p>no</p>") == ["a"]
+
+
 def test_extract(spark):
     article = "".join(f"<p>Sentence {k} of the article &amp; more.</p>" for k in range(5))
     boilerplate = "<nav><ul><li><a href='/x'>Home</a></li></ul></nav><div class='ad'>Buy now.</div>"
