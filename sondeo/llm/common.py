@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,6 +128,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+def in_one_task(spark: SparkSession, work: Callable[[], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Arrays that work() makes in a task: what is fitted to a bounded sample takes no time or threads of the driver, and is made again if its executor goes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _ in batches:
+            yield pd.DataFrame({"made": [pickle.dumps(work())]})
+
+    return pickle.loads(spark.range(0, 1, 1, 1).mapInPandas(run, "made binary").head()[0])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, small_batches
+from .common import bounded_sample, in_one_task, small_batches
 from .html_blocks import Leaf, leaves
 
 PATH_DIMS, WORD_DIMS, OTHER_DIMS, HIDDEN = 96, 24, 6, 20
@@ -229,7 +229,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", c
     """
     small_batches(pages.sparkSession)
     sample = [r["h"] for r in bounded_sample(pages.where(F.col(html_col).isNotNull()).select(id_col, F.col(html_col).alias("h")), id_col, FIT_PAGES).orderBy(id_col).collect()]
-    model = fit_labeller(sample)
+    model = Labeller()
+    model.w = in_one_task(pages.sparkSession, lambda: fit_labeller(sample).w)
     schema = T.StructType([T.StructField("_id", pages.schema[id_col].dataType), *(T.StructField(f"_c_{c}", pages.schema[c].dataType) for c in carry), T.StructField("text", T.StringType())])
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -18,8 +18,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces over this share of the capacity are large; they go into configurations of groups, of at most four pieces.
 LARGE = 1 / 5
-#: Groups of large lengths, of about equal cardinality.
-GROUPS = 512
+#: Groups of large lengths, of about equal cardinality: the few sizes that configurations are optimised for.
+GROUPS = 128
 #: Columns priced per group at most; what is feasible by then is used, and best fit takes the rest.
 PRICINGS = 24
 SPECIAL = "<|endoftext|>"
@@ -95,6 +95,22 @@ def _equal_groups(counts: np.ndarray, large: int, groups: int) -> np.ndarray:
     return up
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By Gauss-Jordan steps with row pivots, element by element.
+
+    This runs in the driver, whose threaded linear algebra library may stall after other work; matrices have one row per group.
+    """
+    m = len(matrix)
+    both = np.concatenate([np.array(matrix, float), np.eye(m)], axis=1)
+    for k in range(m):
+        pivot = k + int(np.argmax(np.abs(both[k:, k])))
+        both[[k, pivot]] = both[[pivot, k]]
+        both[k] /= both[k, k]
+        others = np.arange(m) != k
+        both[others] -= both[others, k, None] * both[k]
+    return both[:, m:]
+
+
 def _configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Configurations (how many of each size) and how often each is used: the linear relaxation by column generation, rounded down.
 
@@ -103,9 +119,8 @@ def _configurations(sizes: list[int], demand: list[int], capacity: int) -> list[
     m = len(sizes)
     size, need = np.array(sizes), np.array(demand, float)
     columns = [np.eye(m, dtype=int)[i] * (capacity // s) for i, s in enumerate(sizes)]
-    basis = np.array(columns, float).T
-    inverse = np.linalg.inv(basis)
-    use = inverse @ need
+    inverse = np.diag(1 / (capacity // size))
+    use = (inverse * need).sum(axis=1)
     # two of the sizes, or one, or none, by their sum: a configuration is two such pairs
     i, j = np.triu_indices(m + 1)
     total = np.append(size, 0)[i] + np.append(size, 0)[j]
@@ -127,7 +142,7 @@ def _configurations(sizes: list[int], demand: list[int], capacity: int) -> list[
             column[i[pair]] += 1
             column[j[pair]] += 1
         column = column[:m]
-        direction = inverse @ column
+        direction = (inverse * column).sum(axis=1)
         ratio = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
         out = int(np.argmin(ratio))
         if not np.isfinite(ratio[out]):
@@ -135,10 +150,10 @@ def _configurations(sizes: list[int], demand: list[int], capacity: int) -> list[
         columns[out] = column
         inverse[out] /= direction[out]
         others = np.arange(m) != out
-        inverse[others] -= np.outer(direction[others], inverse[out])
+        inverse[others] -= direction[others, None] * inverse[out]
         if step % 50 == 49:
-            inverse = np.linalg.inv(np.array(columns, float).T)
-        use = np.maximum(inverse @ need, 0)
+            inverse = _inverse(np.array(columns).T)
+        use = np.maximum((inverse * need).sum(axis=1), 0)
     return [(tuple(int(x) for x in c), int(u + 1e-9)) for c, u in zip(columns, use, strict=True) if int(u + 1e-9)]
 
 
