@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bounded_sample, materialize, salt
+from .common import attach_by_key, bounded_sample, materialize, salt
 
 #: Rows that the codebooks are fitted to, at most.
 FIT_ROWS = 16_384
@@ -19,11 +20,10 @@ FIT_ROWS = 16_384
 WIDTH = 2
 #: Inner products from this share of the vectors' norms on are those that matter; it sets the weight of parallel errors.
 THRESHOLD = 0.2
-#: Different vectors of a block that are scored exactly for each query.
-RERANK = 128
-#: Vectors are scored exactly too whose codes' error, at so many standard deviations, may put them among the k nearest.
-SPREADS = 2.5
-BLOCK_ROWS, QUERY_ROWS = 8_192, 512
+#: Of BLOCK_ROWS vectors, those that are scored exactly for each query.
+RERANK, BLOCK_ROWS = 256, 8_192
+#: Bytes of queries that go to all tasks at a time.
+QUERY_BYTES = 8 << 20
 
 
 def parallel_weight(dims: int, threshold: float = THRESHOLD) -> float:
@@ -93,15 +93,13 @@ class Codebooks:
         return out
 
     def packed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two codes a byte: (subspaces / 2, rows), and (3, rows): squared norms, correction factors, residual norms across."""
+        """Two codes a byte (rows, subspaces / 2), and for each row the factor that undoes the residual along it."""
         codes = self.encode(x)
         parts = self._split(x)
         decoded = self.centres[np.arange(parts.shape[1]), codes]
-        square, kept = np.square(parts).sum(axis=(1, 2)), (parts * decoded).sum(axis=(1, 2))
-        square = np.maximum(square, 1e-30)
+        square, kept = np.maximum(np.square(parts).sum(axis=(1, 2)), 1e-30), (parts * decoded).sum(axis=(1, 2))
         factor = np.where(kept > 0.1 * square, square / np.where(kept > 0.1 * square, kept, 1), 1)
-        across = np.sqrt(np.maximum(np.square(parts - decoded).sum(axis=(1, 2)) - np.square(square - kept) / square, 0))
-        return np.ascontiguousarray((codes[:, ::2] | codes[:, 1::2] << 4).T), np.stack([square, factor, across]).astype(np.float32)
+        return np.ascontiguousarray(codes[:, ::2] | codes[:, 1::2] << 4), factor.astype(np.float32)
 
     def tables(self, query: np.ndarray) -> np.ndarray:
         """Of a query, for each byte of codes its part of the inner product: (subspaces / 2, 256)."""
@@ -116,98 +114,160 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("vec").isNotNull() & F.col("v").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
 
-def _scan(books: Codebooks, query: np.ndarray, own: int, vectors: np.ndarray, codes: np.ndarray, extent: np.ndarray, ids: np.ndarray, starts: np.ndarray, k: int, rerank: int):
-    """The k nearest of a block: a table scan picks `rerank` different vectors and all that come close, which are scored exactly.
+def _vectors(column: pa.Array, dims: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
-    extent: of each vector the squared norm, the factor that undoes the residual along it, and the norm of that across it.
-    ids are sorted within each different vector; starts tells where a vector's ids begin.
-    """
-    tables = books.tables(query)
+
+def directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors in single precision and norms in double. Components are scaled first, so that no square overflows or vanishes."""
+    largest = np.abs(x).max(axis=1, keepdims=True)
+    scaled = x / largest
+    norm = np.sqrt(np.square(scaled).sum(axis=1, keepdims=True))
+    with np.errstate(over="ignore"):
+        return (scaled / norm).astype(np.float32), (norm * largest)[:, 0]
+
+
+def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in double precision; one that overflows is infinite, or last if it has no sign."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = (vectors * query).sum(axis=1)
+    return np.where(np.isnan(score), -np.inf, score)
+
+
+def fitted(rows: DataFrame, dims: int) -> Codebooks:
+    """Codebooks of the directions of at most FIT_ROWS rows, picked by a hash of the id; made in a task."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(np.asarray(b.column("vec")), _vectors(b.column("v"), dims)) for b in batches if len(b)]
+        order = np.argsort(np.concatenate([i for i, _ in found]), kind="stable")
+        books = Codebooks.fit(directions(np.concatenate([x for _, x in found])[order])[0])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(books.centres)])], ["made"])
+
+    return Codebooks(dims, pickle.loads(bounded_sample(rows, "vec", FIT_ROWS).select("vec", "v").repartition(1).mapInArrow(fit, "made binary").head()[0]))
+
+
+def indexed(rows: DataFrame, books: Codebooks) -> DataFrame:
+    """rows (class, vec, v) with codes, factor and norm. Every row is coded where it is read: no shuffle."""
+    dims = books.dims
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            unit, norm = directions(_vectors(b.column("v"), dims)) if len(b) else (np.zeros((0, dims), np.float32), np.zeros(0))
+            codes, factor = books.packed(unit)
+            yield pa.RecordBatch.from_arrays([b.column("class"), b.column("vec"), b.column("v"), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(factor), pa.array(norm)], ["class", "vec", "v", "codes", "factor", "norm"])
+
+    return rows.select("class", "vec", "v").mapInArrow(code, "class long, vec long, v array<double>, codes binary, factor float, norm double")
+
+
+def _scan(tables: np.ndarray, query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, extent: np.ndarray, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and scores of the k nearest of a block: a scan of the codes picks `rerank` vectors, which are scored exactly."""
     near = tables[0][codes[0]]
     for j in range(1, len(codes)):
         near += tables[j][codes[j]]
-    near *= extent[1]
-    if rerank < len(near):
-        top = np.argpartition(-near, rerank)[:rerank]
-    else:
-        top = np.arange(len(near))
-    score = (vectors[top] * query).sum(axis=1)
-    if len(top) < len(near):
-        # what the error of its codes may hide from the k nearest so far is scored too: the part of the query across a
-        # vector meets the part of the residual across it at a random angle
-        least = np.partition(score, -min(k, len(score)))[-min(k, len(score))]
-        across = np.sqrt(np.maximum((query @ query).astype(np.float32) - near * near / extent[0], 0))
-        more = near + across * extent[2] * np.float32(SPREADS / np.sqrt(max(1, len(query) - 1))) >= least
-        more[top] = False
-        more = np.flatnonzero(more)
-        top, score = np.concatenate([top, more]), np.concatenate([score, (vectors[more] * query).sum(axis=1)])
-    found_ids, found = [], []
-    if len(top) > 4 * k:
-        # by score alone 2 * k different vectors and all tied with the last are enough
-        best = score >= np.partition(score, -2 * k)[-2 * k]
-        top, score = top[best], score[best]
-    for i, s in zip(top, score, strict=True):
-        mine = ids[starts[i] : min(starts[i + 1], starts[i] + k + 1)]
-        found_ids.append(mine)
-        found.append(np.full(len(mine), s))
-    a, s = np.concatenate(found_ids), np.concatenate(found)
-    a, s = a[a != own], s[a != own]
-    order = np.lexsort((a, -s))[:k]
-    return a[order], s[order]
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = near * extent
+    top = np.argpartition(-near, rerank)[:rerank] if rerank < len(near) else np.arange(len(near))
+    score = exact(vectors[top], query)
+    order = np.lexsort((ids[top], -score))[:k]
+    return top[order], score[order]
+
+
+def scanned(index: DataFrame, books: Codebooks, q_classes: np.ndarray, queries: np.ndarray, k: int, rerank: int) -> DataFrame:
+    """(asked, near, vec, score): of each task's part of the index the k vectors nearest to each query.
+
+    A task goes over its rows in blocks and keeps k for each query, so what it holds and sends follows the number of
+    queries, which the caller bounds, and not the rows.
+    """
+    dims = books.dims
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best_class, best_id, best = np.zeros((len(q_classes), 0), np.int64), np.zeros((len(q_classes), 0), np.int64), np.zeros((len(q_classes), 0))
+        tables = None
+        held: list[pa.RecordBatch] = []
+
+        def block() -> None:
+            nonlocal best, best_class, best_id, tables
+            if tables is None:
+                tables = [books.tables(q) for q in directions(queries)[0]]
+            table = pa.Table.from_batches(held).combine_chunks()
+            classes, ids, vectors = table["class"].to_numpy(), table["vec"].to_numpy(), _vectors(table["v"].combine_chunks(), dims)
+            codes = np.frombuffer(b"".join(table["codes"].to_pylist()), np.uint8).reshape(len(ids), -1).T.copy()
+            with np.errstate(over="ignore"):
+                extent = table["norm"].to_numpy() * table["factor"].to_numpy()
+            n = min(k, len(ids))
+            at, new = np.zeros((len(q_classes), n), np.int64), np.zeros((len(q_classes), n))
+            for i, (t, q) in enumerate(zip(tables, queries, strict=True)):
+                at[i], new[i] = _scan(t, q, ids, vectors, codes, extent, n, rerank)
+            best_class, best_id, best = (np.concatenate(x, axis=1) for x in ((best_class, classes[at]), (best_id, ids[at]), (best, new)))
+            order = np.lexsort((best_id, -best), axis=1)[:, :k]
+            best_class, best_id, best = (np.take_along_axis(x, order, 1) for x in (best_class, best_id, best))
+            held.clear()
+
+        for b in batches:
+            for a in range(0, len(b), BLOCK_ROWS):
+                held.append(b.slice(a, BLOCK_ROWS))
+                if sum(map(len, held)) >= BLOCK_ROWS:
+                    block()
+        if held:
+            block()
+        n = best.shape[1]
+        for a in range(0, len(q_classes) if n else 0, 1024):
+            columns = [np.repeat(q_classes[a : a + 1024], n), *(x[a : a + 1024].ravel() for x in (best_class, best_id, best))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["asked", "near", "vec", "score"])
+
+    return index.mapInArrow(scan, "asked long, near long, vec long, score double")
+
+
+def _first(rows: DataFrame, key: str, order: list, k: int) -> DataFrame:
+    """The first k rows of each key; in each partition no more than k of a key go on to the shuffle."""
+    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_n", n).where(F.col("_n") <= k).drop("_n")
 
 
 def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, the k other rows with the largest inner products found.
 
-    Codebooks are fitted to at most FIT_ROWS rows, picked by a hash of the id; every row is indexed. Queries and
-    rows are dealt into blocks of bounded size, and each pair of blocks is one scan: four-bit codes of the block's
-    different vectors; RERANK of them, and all others that may be as near, are scored exactly in double precision. The best of all blocks stay, nearest first,
-    ties to the smaller id. Vectors null, zero, with null or non-finite components or (of the fewer) another length take
-    no part; neither do rows without an id. A row that repeats an id is found as often as it stands there. An empty
-    table gives no rows.
+    Equal vectors are one class, which its smallest id stands for: each is coded, scanned and asked once, and its members
+    are put in at the end. Codebooks are fitted to the directions of at most FIT_ROWS classes, picked by a hash of the id;
+    every class is indexed, by four-bit codes of its direction and its norm. Queries go to the tasks in chunks of about
+    QUERY_BYTES, one job each; a task scans the codes of its own part of the index, scores RERANK of each BLOCK_ROWS
+    exactly in double precision, and sends k + 1 for each query. So the index is not shuffled, and no pairs of blocks are
+    made. Nearest first, ties to the smaller id. Components up to the largest double are fine; an inner product beyond is
+    infinite. Vectors null, zero, with null or non-finite components or (of the fewer) another length take no part;
+    neither do rows without an id. A row that repeats an id and its vector counts once; different vectors of one id are found as rows of their own. An
+    empty table gives no rows.
     """
     good = materialize(usable(rows, id_col, vector_col), "vectors")
     shape = [(r["d"], r["n"]) for r in good.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()]
     if not shape:
         return good.select(F.col("vec").alias("query_id"), F.lit(1).alias("rank"), F.col("vec").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
-    dims, n = shape[0]
-    good = good.where(F.size("v") == dims)
-    sample = bounded_sample(good, "vec", FIT_ROWS).orderBy("vec").toPandas()
-    books = Codebooks.fit(np.array(sample["v"].tolist(), np.float32))
-    row_blocks, query_blocks = -(-n // BLOCK_ROWS), max(1, -(-n // every // QUERY_ROWS))
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec")
-        x = np.array(pdf["v"].tolist(), np.float64)
-        return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "ids": [pdf["vec"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()]})
-
-    def index(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec")
-        x = np.array(pdf["v"].tolist(), np.float64)
-        different, of = np.unique(x, axis=0, return_inverse=True)
-        order = np.argsort(of.ravel(), kind="stable")
-        starts = np.searchsorted(of.ravel()[order], np.arange(len(different) + 1))
-        codes, extent = books.packed(different.astype(np.float32))
-        return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "ids": [pdf["vec"].to_numpy(np.int64)[order].tobytes()], "starts": [starts.astype(np.int64).tobytes()], "vectors": [different.tobytes()], "codes": [codes.tobytes()], "extent": [extent.tobytes()]})
-
-    rows_in = good.withColumn("block", salt("vec", salts=row_blocks)).groupBy("block").applyInPandas(index, "block int, ids binary, starts binary, vectors binary, codes binary, extent binary")
-    asked = good.where(F.col("vec") % every == 0).withColumn("block", salt("vec", F.lit("query"), salts=query_blocks)).groupBy("block").applyInPandas(block, "block int, ids binary, vectors binary")
-    # an index block goes to every query block and the other way round: each pair of blocks is one row of the join
-    left = materialize(rows_in, "index").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).select("q", F.col("block").alias("b"), "ids", "starts", "vectors", "codes", "extent")
-    right = materialize(asked, "queries").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)))).select(F.col("block").alias("q"), "b", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples():
-                ids, starts = np.frombuffer(r.ids, np.int64), np.frombuffer(r.starts, np.int64)
-                vectors = np.frombuffer(r.vectors, np.float64).reshape(-1, dims)
-                codes = np.frombuffer(r.codes, np.uint8).reshape(-1, len(vectors))
-                extent = np.frombuffer(r.extent, np.float32).reshape(3, -1)
-                q_ids = np.frombuffer(r.q_ids, np.int64)
-                for own, query in zip(q_ids, np.frombuffer(r.q_vectors, np.float64).reshape(-1, dims), strict=True):
-                    a, s = _scan(books, query, own, vectors, codes, extent, ids, starts, k, rerank)
-                    yield pd.DataFrame({"query_id": np.full(len(a), own), "vec_id": a, "score": s})
-
-    found = left.join(right, ["q", "b"]).mapInPandas(scan, "query_id long, vec_id long, score double")
+    dims = shape[0][0]
+    good = good.where(F.size("v") == dims).dropDuplicates(["vec", "v"])
+    classes = good.groupBy("v", salt("vec").alias("_salt")).agg(F.min("vec").alias("vec")).groupBy("v").agg(F.min("vec").alias("vec"))
+    # numbered, as a repeated id may be the smallest of several classes; the written numbers stay
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("class"), "vec", "v"), "classes")
+    by_class = materialize(attach_by_key(good, ["v"], classes.select("v", "class"), ["vec"]).select("vec", "class"), "members")
+    books = fitted(classes, dims)
+    index = materialize(indexed(classes, books), "index")
+
+    asked = by_class.where(F.col("vec") % every == 0)
+    wanted = materialize(classes.join(asked.select("class").distinct(), "class", "left_semi"), "queries")
+    chunks = max(1, -(-wanted.count() * dims * 8 // QUERY_BYTES))
+    parts = []
+    for c in range(chunks):
+        chunk = wanted.where(salt("class", F.lit("chunk"), salts=chunks) == c).toArrow()
+        if len(chunk):
+            found = scanned(index, books, chunk["class"].to_numpy(), _vectors(chunk["v"].combine_chunks(), dims), k + 1, rerank)
+            parts.append(materialize(_first(found, "asked", [F.desc("score"), "vec"], k + 1), "found"))
+    if not parts:
+        return by_class.select(F.col("vec").alias("query_id"), F.lit(1).alias("rank"), F.col("vec").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.union(p)
+    lists = found.groupBy("asked").agg(F.collect_list(F.struct("near", "score")).alias("_near")).withColumnRenamed("asked", "class")
+    pairs = attach_by_key(asked.select("vec", "class"), ["class"], lists, ["vec"]).select(F.col("vec").alias("query_id"), F.explode("_near").alias("c")).select("query_id", F.col("c.near").alias("class"), F.col("c.score").alias("score"))
+    few = _first(_first(by_class.withColumn("_part", F.xxhash64("class", salt("vec"))), "_part", ["vec"], k + 1), "class", ["vec"], k + 1)
+    members = few.groupBy("class").agg(F.collect_list("vec").alias("_ids"))
+    pairs = attach_by_key(pairs, ["class"], members, ["query_id"]).select("query_id", F.explode("_ids").alias("vec_id"), "score").where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

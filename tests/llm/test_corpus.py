@@ -187,11 +187,33 @@ def test_nearest_with_odd_vectors(spark):
     assert hit >= 0.97 * 5 * len(want)
     assert [j for _, j, _ in got[1000]] == [j for _, j in want[1000]]
     assert all([r for r, _, _ in v] == list(range(1, 6)) for v in got.values())
+    assert all(s == pytest.approx(-w, rel=1e-12) for q in want for (w, _), (_, _, s) in zip(want[q], got[q], strict=True) if hit == 5 * len(want))
     assert ann.nearest(df.where("vec_id = 2000"), 20, 5).count() == 0 and ann.nearest(df.where("vec_id = 20"), 20, 5).count() == 0
 
 
+def test_nearest_beyond_single_precision(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(8) * 10.0 ** rng.integers(-140, 140)).tolist()) for i in range(400)] + [(500, [1e300] * 8), (520, [-1e300] * 8), (540, [5e-324] * 8)]
+    want = exact_neighbours([r for r in rows if r[0] < 500], 20, 5)
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 20, 5).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got.keys() == want.keys() | {500, 520, 540} and all(len(v) == 5 for v in got.values())
+    hit = sum(len({j for _, j in want[q]} - {j for j, _ in got[q]}) for q in want)
+    assert hit <= 2 * len(want)  # those with ids from 500 on take places
+    assert max(got[500], key=lambda x: x[1])[1] > 1e150
+
+
+def test_queries_go_in_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(500)] + [(40, [1.0] * 8)], "vec_id long, embedding array<double>")
+    once = sorted(ann.nearest(df, 20, 5).collect())
+    monkeypatch.setattr(ann, "QUERY_BYTES", 300)
+    assert sorted(ann.nearest(df, 20, 5).collect()) == once
+
+
 def test_recall_on_table(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     x = np.array([v for _, v in rows], float)
     ids = np.array([i for i, _ in rows])
