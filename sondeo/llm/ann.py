@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import attach_by_key, bounded_sample, materialize, salt
+from .common import attach_by_key, bounded_sample, materialize, salt, smallest_of_group
 
 #: Rows that the codebooks are fitted to, at most.
 FIT_ROWS = 16_384
@@ -114,6 +115,20 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("vec").isNotNull() & F.col("v").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
 
+def with_digest(rows: DataFrame) -> DataFrame:
+    """rows (vec, v) with same: a digest that equal vectors share, whatever the sign of their zeros."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = b.column("v")
+            edges = column.offsets.to_numpy() - column.offsets[0].as_py() if len(b) else []
+            flat = column.flatten().to_numpy(zero_copy_only=False) + 0.0
+            same = [hashlib.blake2b(flat[i:j].tobytes(), digest_size=16).digest() for i, j in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("vec"), column, pa.array(same, pa.binary())], ["vec", "v", "same"])
+
+    return rows.select("vec", "v").mapInArrow(add, "vec long, v array<double>, same binary")
+
+
 def _vectors(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
@@ -237,16 +252,17 @@ def nearest(rows: DataFrame, every: int, k: int, id_col: str = "vec_id", vector_
     neither do rows without an id. A row that repeats an id and its vector counts once; different vectors of one id are found as rows of their own. An
     empty table gives no rows.
     """
-    good = materialize(usable(rows, id_col, vector_col), "vectors")
+    good = materialize(with_digest(usable(rows, id_col, vector_col)), "vectors")
     shape = [(r["d"], r["n"]) for r in good.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()]
     if not shape:
         return good.select(F.col("vec").alias("query_id"), F.lit(1).alias("rank"), F.col("vec").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     dims = shape[0][0]
-    good = good.where(F.size("v") == dims).dropDuplicates(["vec", "v"])
-    classes = good.groupBy("v", salt("vec").alias("_salt")).agg(F.min("vec").alias("vec")).groupBy("v").agg(F.min("vec").alias("vec"))
+    good = good.where(F.size("v") == dims)
+    grouped = materialize(smallest_of_group(good.select("vec", "same").distinct(), ["same"], "vec").select("vec", "same", "keep_id"), "same")
     # numbered, as a repeated id may be the smallest of several classes; the written numbers stay
-    classes = materialize(classes.select(F.monotonically_increasing_id().alias("class"), "vec", "v"), "classes")
-    by_class = materialize(attach_by_key(good, ["v"], classes.select("v", "class"), ["vec"]).select("vec", "class"), "members")
+    classes = good.join(grouped.where("vec = keep_id").select("vec", "same"), ["vec", "same"]).dropDuplicates(["same"])
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("class"), "vec", "v", "same"), "classes")
+    by_class = materialize(attach_by_key(grouped.select("vec", "same"), ["same"], classes.select("same", "class"), ["vec"]).select("vec", "class"), "members")
     books = fitted(classes, dims)
     index = materialize(indexed(classes, books), "index")
 
