@@ -10,48 +10,47 @@ from .common import free_name, materialize, only_kept, smallest_of_group
 #: White space that counts as one space. Fixed value of the contract.
 WHITE = r"[\x20\x09-\x0D]+"
 PREFIX_CHARS = 256
-#: Bits of the filter that tells the second scan which documents to read in full; 2**23 bits are 131,072 rows of a long.
-FILTER_BITS = 23
+#: Bits of a filter per key that it holds, and of a filter at most: 2**26 bits are 1,048,576 rows of a long.
+KEY_BITS, FILTER_BITS = 16, 26
 
 
 def normalised(text: str | Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
-#: Place of a row's key in the filter: the word, and the bit in it.
-WORD = f"cast(pmod(xxhash64(_len, _start), {1 << FILTER_BITS}) div 64 as int)"
-BIT = f"shiftleft(1L, cast(pmod(xxhash64(_len, _start), {1 << FILTER_BITS}) % 64 as int))"
-
-
-def _filter_of(keys: DataFrame) -> DataFrame:
-    """A bitmap of the keys' hashes as rows (_word, _bits): at most 2**FILTER_BITS / 64 rows, however many keys there are."""
-    return keys.select(F.expr(WORD).alias("_word"), F.expr(BIT).alias("_bit")).groupBy("_word").agg(F.expr("bit_or(_bit)").alias("_bits"))
+def _with_mark(rows: DataFrame, keys: DataFrame, cols: list[str], name: str) -> DataFrame:
+    """rows with a boolean: true where cols may be in keys, which they never fail to be told of. keys goes to all tasks as a bitmap of bounded size, however many there are."""
+    bits = max(20, min(FILTER_BITS, (KEY_BITS * max(1, keys.count()) - 1).bit_length()))
+    at = F.pmod(F.xxhash64(*cols), F.lit(1 << bits))
+    word, bit = F.floor(at / 64).cast("int"), F.expr("shiftleft(1L, cast(_at % 64 as int))")
+    bitmap = keys.select(word.alias("_word"), at.alias("_at")).select("_word", bit.alias("_bit")).groupBy("_word").agg(F.expr("bit_or(_bit)").alias("_bits"))
+    marked = rows.withColumns({"_word": word, "_at": at}).join(F.broadcast(bitmap), "_word", "left")
+    return marked.withColumn(name, (F.coalesce("_bits", F.lit(0).cast("long")).bitwiseAND(bit)) != 0).drop("_word", "_at", "_bits")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per row of docs: id_col, the carried columns, keep_id, group_size, kept.
 
-    First scan: rows are grouped by the length of the normalised text; groups of one are settled. What survives is
-    grouped by length and a hash of the first PREFIX_CHARS characters. Second scan: only documents of surviving groups
-    are hashed in full (SHA-256); a bitmap of fixed size tells which, and a false alarm in it costs a hash, not a result.
-    Equal length, prefix hash and SHA-256 make a group; its smallest id stays.
+    Rows are grouped by the length of the normalised text. Of lengths that several rows have, rows are grouped by a hash
+    of the first PREFIX_CHARS characters. Only documents of groups that survive this are hashed in full (SHA-256). Each
+    step is a scan, to which a bitmap of the groups that survived the step before tells what to look at; a false alarm in
+    it costs a hash, not a result. Equal length, prefix hash and SHA-256 make a group; its smallest id stays.
 
     Null text is the empty text; all empty texts are one group. Rows that repeat an id are all labelled; a group counts
     rows. A null id is never the one that stays unless all ids of its group are null. An empty table gives an empty
     result; other columns of docs are not touched unless carried.
     """
-    norm = normalised(F.col(text_col))
+    norm, start = normalised(F.col(text_col)), F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS))
     base = docs.select(F.col(id_col).alias("_id"), *(c.alias(f"_c_{k}") for k, c in (carry or {}).items()), norm.alias("_norm"))
-    base = base.select("*", F.octet_length("_norm").alias("_len"), F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS)).alias("_start"))
-
-    by_start = base.groupBy("_len", "_start").agg(F.count(F.lit(1)).alias("_n"))
-    by_start = materialize(by_start, "starts")
-    lengths = by_start.groupBy("_len").agg(F.sum("_n").alias("_total")).where("_total > 1").select("_len")
-    survivors = by_start.where("_n > 1").join(lengths, "_len", "left_semi")
-    seen = base.withColumn("_word", F.expr(WORD)).join(F.broadcast(_filter_of(survivors)), "_word", "left")
-    again = F.expr(f"(coalesce(_bits, 0L) & {BIT}) != 0")
-    rows = seen.select("_id", *(f"_c_{k}" for k in carry or {}), "_len", "_start", F.when(again, F.sha2("_norm", 256)).alias("_full"))
-    rows = materialize(rows, "rows")
+    base = base.withColumn("_len", F.octet_length("_norm"))
+
+    by_length = materialize(base.groupBy("_len").agg(F.count(F.lit(1)).alias("_n")), "lengths")
+    by_start = _with_mark(base, by_length.where("_n > 1"), ["_len"], "_again").where("_again")
+    by_start = materialize(by_start.groupBy("_len", start.alias("_start")).agg(F.count(F.lit(1)).alias("_n")), "starts")
+    seen = _with_mark(base, by_length.where("_n > 1"), ["_len"], "_again").withColumn("_start", F.when(F.col("_again"), start))
+    seen = _with_mark(seen, by_start.where("_n > 1"), ["_len", "_start"], "_twice")
+    full = F.when(F.col("_again") & F.col("_twice"), F.sha2("_norm", 256))
+    rows = materialize(seen.select("_id", *(f"_c_{k}" for k in carry or {}), "_len", "_start", full.alias("_full")), "rows")
 
     shared = smallest_of_group(rows.where("_full is not null"), ["_len", "_start", "_full"], "_id")
     alone = rows.where("_full is null").select("*", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
