@@ -164,6 +164,27 @@ def test_quality_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
 
 
+def test_discriminant_against_densities():
+    """Log-densities with determinants and inverses of the covariances, from the rows themselves."""
+    rng = np.random.default_rng(0)
+    d = len(quality.FEATURES)
+    rows = {k: rng.standard_normal((300 + 200 * k, d)) @ rng.standard_normal((d, d)) + k for k in (0, 1)}
+    model = quality.Discriminant.fit({k: (len(x), x.sum(axis=0), x.T @ x) for k, x in rows.items()}, d)
+    both = np.concatenate([rows[0], rows[1]])
+    z = {k: (x - both.mean(axis=0)) / both.std(axis=0) for k, x in rows.items()}
+    cov = {k: np.cov(x.T, bias=True) for k, x in z.items()}
+    pooled = sum(len(z[k]) * cov[k] for k in z) / len(both)
+    new = rng.standard_normal((50, d)) * 3
+    points = np.clip((new - both.mean(axis=0)) / both.std(axis=0), -quality.CUT, quality.CUT)
+    log = {}
+    for k in z:
+        c = (1 - quality.TO_POOLED - quality.TO_IDENTITY) * cov[k] + quality.TO_POOLED * pooled + quality.TO_IDENTITY * np.eye(d)
+        off = points - z[k].mean(axis=0)
+        log[k] = -0.5 * (np.einsum("ni,ij,nj->n", off, np.linalg.inv(c), off) + np.linalg.slogdet(c)[1])
+    want = log[1] - log[0] + np.log((len(rows[1]) + 1) / (len(rows[0]) + 1))
+    assert np.allclose(model.log_odds(new), want, atol=1e-4)
+
+
 def test_quality_of_odd_tables(docs, spark):
     table = quality.with_statistics(docs([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x" * 200_000)]), name="_s")
     labelled = table.withColumn("quality", table.doc_id % 2)
