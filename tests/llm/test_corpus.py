@@ -149,6 +149,52 @@ def test_plan_places_every_block_once():
     assert sorted(at.tolist()) == list(range(sum(blocks.values())))
 
 
+def test_deviations_do_not_add_up_over_phases():
+    """Against shares that flow: each slot gives every source that still has blocks its weight among those."""
+    rng = np.random.default_rng(8)
+    for _ in range(12):
+        n = int(rng.integers(3, 14))
+        blocks = {f"s{i}": int(rng.integers(1, 400)) for i in range(n)}
+        weights = {s: float(rng.integers(1, 50)) for s in blocks}
+        order = {}
+        phases = mixing.plan(blocks, weights, 256)
+        for s, k in blocks.items():
+            for x in mixing.slot_of(phases, s, np.arange(k)):
+                order[int(x)] = s
+        assert sorted(order) == list(range(sum(blocks.values())))
+        behind, seen = dict.fromkeys(blocks, 0.0), Counter()
+        for t in range(len(order)):
+            going = {s: slots for s, slots in mixing.whole_weights({s: weights[s] for s in blocks if seen[s] < blocks[s]}, 256).items()}
+            total = sum(going.values())
+            for s, slots in going.items():
+                behind[s] += slots / total
+            behind[order[t]] -= 1
+            seen[order[t]] += 1
+            for s in [s for s in going if seen[s] == blocks[s]]:  # what it is behind goes to the others
+                rest = behind.pop(s)
+                others = sum(going[x] for x in behind if x in going)
+                for x in behind:
+                    behind[x] += rest * going[x] / others
+            assert all(abs(x) < 2 for x in behind.values())
+
+
+def test_mix_against_a_list(spark):
+    """Sources as queues of blocks that the schedule empties one by one, ids in the order of mix()."""
+    rows = [(i, "ab"[i % 3 == 0]) for i in range(90)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), {"a": 1, "b": 3}, block_docs=4, period=32).collect()
+    queues = {s: [] for s in "ab"}
+    for r in sorted((r for r in got), key=lambda r: (r.block, r.position)):
+        queues[r.source].append(r.doc_id)
+    turns = [x for x in mixing.schedule(mixing.whole_weights({"a": 1, "b": 3}, 32))] * 9
+    want = []
+    for s in turns:
+        if not all(queues.values()):
+            break
+        want += queues[s][:4]
+        del queues[s][:4]
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.position)][: len(want)] == want and len(want) > 30
+
+
 def test_mix(spark, docs):
     rows = spark.createDataFrame([(i, f"s{min(i % 7, 2)}" if i % 11 else None, 5) for i in range(700)] + [(None, "s1", 5)], "doc_id long, source string, position int").repartition(5)
     got = mixing.mix(rows, {"s0": 1, "s1": 1, "s2": 2}, block_docs=4, period=32).collect()
