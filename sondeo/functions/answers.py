@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .encoding import fix_encoding
-from .jsonrepair import STRICT, fix_json
+from .jsonrepair import STRICT, fix_json, let
 
 # Question ids and the columns of their answers; other ids go to metric_<id>.
 COLUMNS = {
@@ -15,6 +15,8 @@ COLUMNS = {
     "csat_rate_satisfied": "csat_satisfaccion_score",
     "csat_text_satisfied": "csat_satisfaccion_motivo",
 }
+#: Columns that answers are expanded into, at most; more ids mean that the id field holds something else.
+MOST_QUESTIONS = 2_000
 PREFIX, ID_KEY, VALUE_KEY = "metric_", "subQuestionId", "answerValue"
 
 
@@ -29,9 +31,8 @@ def items(text: Column) -> Column:
     maps = F.filter(F.transform(objects, lambda x: F.from_json(x, "map<string,string>", STRICT)), lambda m: m.isNotNull())
 
     def value(m: Column) -> Column:
-        found = F.try_element_at(m, F.lit(VALUE_KEY))
-        rendered = F.when(found == "true", "True").when(found == "false", "False").otherwise(found)
-        return F.when(~F.map_contains_key(m, VALUE_KEY), "").otherwise(fix_encoding(F.coalesce(rendered, F.lit("None"))))
+        rendered = let(F.try_element_at(m, F.lit(VALUE_KEY)), lambda v: F.when(v == "true", "True").when(v == "false", "False").otherwise(F.coalesce(v, F.lit("None"))))
+        return F.when(~F.map_contains_key(m, VALUE_KEY), "").otherwise(fix_encoding(rendered))
 
     def key(m: Column) -> Column:
         return F.when(~F.map_contains_key(m, ID_KEY), "").otherwise(F.coalesce(F.try_element_at(m, F.lit(ID_KEY)), F.lit("None")))
@@ -49,8 +50,10 @@ def column_of(question: str) -> str:
 
 
 def questions(df: DataFrame, listed: Column) -> list[str]:
-    """Question ids that occur, known ones first, then by name. One small distinct job; ids, not answers, reach the driver."""
-    found = {r[0] for r in df.select(F.explode(F.transform(listed, lambda x: x["id"]))).distinct().collect()}
+    """Question ids that occur, known ones first, then by name. One small distinct job; at most MOST_QUESTIONS ids, no answers, reach the driver."""
+    found = {r[0] for r in df.select(F.explode(F.transform(listed, lambda x: x["id"]))).distinct().limit(MOST_QUESTIONS + 1).collect()}
+    if len(found) > MOST_QUESTIONS:
+        raise ValueError(f"more than {MOST_QUESTIONS} question ids: a table can't have a column for each")
     return [q for q in COLUMNS if q in found] + sorted(found - set(COLUMNS))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,21 +16,38 @@ def is_json(text: Column) -> Column:
     return F.coalesce(F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", STRICT)) == 1, F.lit(False))
 
 
+# What a repair replaces, after backslashes are gone. Quotes round a key, and round a value behind a colon.
+KEY, KEY_REPAIRED = r"(?U)'(\w+)':", '"$1":'
+VALUE, VALUE_REPAIRED = r"(?U):\s*'([^']*?)'", ': "$1"'
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use reads it: as the argument of a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def requoted(text: Column) -> Column:
     """Without backslashes, with double quotes around word keys and around values right after a colon."""
-    keys = F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("")), r"(?U)'(\w+)':", '"$1":')
-    return F.regexp_replace(keys, r"(?U):\s*'([^']*?)'", ': "$1"')
+    keys = F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("")), KEY, KEY_REPAIRED)
+    return F.regexp_replace(keys, VALUE, VALUE_REPAIRED)
+
+
+def repair(text: Column) -> Column:
+    """struct<text, outcome>: valid text as it is, else its repair if that is valid, else an empty list; outcome is valid, fixed or corrupted. Both null for null."""
+    made = lambda x, outcome: F.struct(x.alias("text"), F.lit(outcome).alias("outcome"))
+    mended = lambda t: let(requoted(t), lambda r: F.when(is_json(r), made(r, "fixed")).otherwise(made(F.lit(EMPTY), "corrupted")))
+    null = F.lit(None).cast("string")
+    return let(text, lambda t: F.when(t.isNull(), F.struct(null.alias("text"), null.alias("outcome"))).when(is_json(t), made(t, "valid")).otherwise(mended(t)))
 
 
 def fix_json(text: Column) -> Column:
     """Valid text as it is, else its repair if that is valid, else an empty list; null stays null."""
-    repaired = requoted(text)
-    return F.when(text.isNull() | is_json(text), text).when(is_json(repaired), repaired).otherwise(EMPTY)
+    return repair(text)["text"]
 
 
 def json_outcome(text: Column) -> Column:
     """valid, fixed or corrupted; null for null."""
-    return F.when(text.isNull(), None).when(is_json(text), "valid").when(is_json(requoted(text)), "fixed").otherwise("corrupted")
+    return repair(text)["outcome"]
 
 
 def swap_quotes(text: Column) -> Column:

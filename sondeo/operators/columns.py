@@ -24,10 +24,6 @@ def with_any(names: Iterable[str], parts: Iterable[str]) -> list[str]:
     return [n for n in names if any(p in n.lower() for p in parts)]
 
 
-def with_prefix(names: Iterable[str], prefixes: tuple[str, ...]) -> list[str]:
-    return [n for n in names if n.startswith(prefixes)]
-
-
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
@@ -46,5 +42,5 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def drop_blank_rows(df: DataFrame) -> DataFrame:
-    """Without rows in which every column is null."""
-    return df.dropna("all")
+    """Without rows in which every column is null. With a column that never is, no filter: pushed down, it would compute all others twice."""
+    return df.dropna("all") if all(f.nullable for f in df.schema.fields) else df

@@ -12,9 +12,10 @@ from .columns import col
 
 def column_stats(df: DataFrame, names: list[str]) -> DataFrame:
     """(column, n, mean, least, greatest) of columns read as numbers; one pass over the data for all of them."""
-    numbers = F.array(*(F.struct(F.lit(n).alias("column"), to_number(col(n)).alias("x")) for n in names))
-    rows = df.select(F.explode(numbers).alias("s")).select("s.*")
-    return rows.groupBy("column").agg(F.count("x").alias("n"), F.round(F.avg("x"), 6).alias("mean"), F.min("x").alias("least"), F.max("x").alias("greatest"))
+    numbers = df.select(*(to_number(col(n)).alias(f"_{i}") for i, n in enumerate(names)))
+    sums = numbers.agg(*(f(f"_{i}").alias(f"_{i}_{k}") for i in range(len(names)) for k, f in (("n", F.count), ("mean", F.avg), ("least", F.min), ("greatest", F.max))))
+    one = lambda i, n: F.struct(F.lit(n).alias("column"), F.col(f"_{i}_n").alias("n"), F.round(f"_{i}_mean", 6).alias("mean"), F.col(f"_{i}_least").alias("least"), F.col(f"_{i}_greatest").alias("greatest"))
+    return sums.select(F.explode(F.array(*(one(i, n) for i, n in enumerate(names)))).alias("s")).select("s.*")
 
 
 def value_counts(df: DataFrame, name: str) -> DataFrame:

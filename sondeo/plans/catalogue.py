@@ -106,15 +106,16 @@ def score_fallback_dataset(spark, sf_dir):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_extract(spark, sf_dir):
-    found = F.from_json("props", "map<string,string>", jsonrepair.STRICT)
-    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(found, F.lit("k")).alias("k"))
+    item = F.concat(F.lit('[{"subQuestionId": "k", "answerValue": '), F.get_json_object("props", "$.k"), F.lit("}]"))
+    return table(spark, sf_dir, "events").select("event_id", answers.answer(answers.items(item), "k").alias("k"))
 
 
 @query("""SELECT event_id, '{"k": ' || json_extract_string(props, '$.k') || ', "t": "a ' || event_type || '"}' AS fixed, 'fixed' AS outcome FROM events""")
 def json_repair_quotes(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
     broken = F.concat(F.lit("{'k': "), k, F.lit(", 't': 'a "), F.col("event_type"), F.lit("'}"))
-    return table(spark, sf_dir, "events").select("event_id", jsonrepair.fix_json(broken).alias("fixed"), jsonrepair.json_outcome(broken).alias("outcome"))
+    repaired = table(spark, sf_dir, "events").select("event_id", jsonrepair.repair(broken).alias("r"))
+    return repaired.select("event_id", F.col("r.text").alias("fixed"), F.col("r.outcome").alias("outcome"))
 
 
 _BROKEN_OUTCOMES = "CASE event_id % 6 WHEN 0 THEN 'valid' WHEN 1 THEN 'fixed' WHEN 2 THEN 'corrupted' WHEN 3 THEN 'corrupted' WHEN 4 THEN 'corrupted' ELSE NULL END"
@@ -280,9 +281,20 @@ def text_diagnostics(spark, sf_dir):
 def _through(spark: SparkSession, df: DataFrame, name: str, write: Callable[[Warehouse, DataFrame, str], None]) -> DataFrame:
     name = f"{name}_{uuid.uuid4().hex}"  # a warehouse may still hold the folder of a table that this catalogue doesn't know
     write(Warehouse(spark), df, name)
+    _made.append((spark, name))
     return spark.table(name)
 
 
+#: Tables that sink queries wrote, each until the next such query or the end of the process: a result is read after its query returns.
+_made: list[tuple[SparkSession, str]] = []
+
+
+def drop_made_tables() -> None:
+    while _made:
+        spark, name = _made.pop()
+        Warehouse(spark).drop(name)
+
+
 @query("SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events")
 def append_sink(spark, sf_dir):
     def twice(target, df, name):
@@ -311,8 +323,8 @@ def positional_concat(spark, sf_dir):
 
 @query("SELECT page_id, CASE WHEN contains(lower(f), 'bm') THEN 'BM' WHEN contains(lower(f), 'bv') THEN 'BV' ELSE 'error' END AS file_type FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'submit_bv' WHEN 1 THEN 'AGOSTO_BV' WHEN 2 THEN 'agosto_bm_2025' ELSE url END AS f FROM pages)")
 def route_file_type(spark, sf_dir):
-    f = F.lower(F.when(F.col("page_id") % 4 == 0, "submit_bv").when(F.col("page_id") % 4 == 1, "AGOSTO_BV").when(F.col("page_id") % 4 == 2, "agosto_bm_2025").otherwise(F.col("url")))
-    return table(spark, sf_dir, "pages").select("page_id", F.when(F.contains(f, F.lit("bm")), "BM").when(F.contains(f, F.lit("bv")), "BV").otherwise("error").alias("file_type"))
+    f = F.when(F.col("page_id") % 4 == 0, "submit_bv").when(F.col("page_id") % 4 == 1, "AGOSTO_BV").when(F.col("page_id") % 4 == 2, "agosto_bm_2025").otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", F.coalesce(cleaning.kind_column(f), F.lit("error")).alias("file_type"))
 
 
 @query("SELECT event_id, TIMESTAMP '2025-08-31 12:00:00' AS cleaned_date, 'BM' AS file_type, '2024-08' AS month_year FROM events")
@@ -352,6 +364,74 @@ def bv_end_to_end(spark, sf_dir):
     return runs.for_load(cleaning.clean_bv(raw, RUN_TIME), "BV")
 
 
+@query("SELECT o_orderdate FROM orders")
+def key_columns(spark, sf_dir):
+    """Columns whose names have a key part; here the date."""
+    orders = table(spark, sf_dir, "orders")
+    return c.keep(orders, c.with_any(orders.columns, runs.KEY_PARTS))
+
+
+@query("SELECT * FROM (VALUES ('mobile', 8.0::DOUBLE, 2, 1, 0), ('web', 10.0, 1, 1, 0)) t(channel, avg_nps, total, promoters, detractors)")
+def smoke_load(spark, sf_dir):
+    """Rows given here, written, read back and scored."""
+    name = f"sondeo_smoke_{uuid.uuid4().hex}"
+    _made.append((spark, name))
+    return runs.smoke_load(spark, Warehouse(spark), name, RUN_TIME)
+
+
+@query("""SELECT event_id, '[{"a": "Ã‰xito ó", "n": ' || event_id || '}]' AS cleaned_text, event_id % 2 = 0 AS parsed FROM events WHERE event_id % 2 = 0
+    UNION ALL SELECT event_id, '["a": "' || event_type || '"]', false FROM events WHERE event_id % 2 = 1""")
+def simple_cleaning(spark, sf_dir):
+    even = F.col("event_id") % 2 == 0
+    raw = F.when(even, F.concat(F.lit("[{'a': 'Ã‰xito Ã³', 'n': "), F.col("event_id"), F.lit("}]"))).otherwise(F.concat(F.lit("['a': 'Â"), F.col("event_type"), F.lit("']")))
+    return cleaning.simple_answers(table(spark, sf_dir, "events").select("event_id", raw.alias("answers"))).drop("answers")
+
+
+@query("SELECT count(*) AS rows, count(CASE WHEN event_id % 3 = 0 THEN 1 END) * 2 + count(CASE WHEN event_id % 4 = 1 THEN 1 END) AS encoding_fixed, count(CASE WHEN event_id % 4 = 1 THEN 1 END) AS json_fixed, count(CASE WHEN event_id % 4 = 2 THEN 1 END) AS json_corrupted, 1 AS timezone_fixed FROM events")
+def run_counters(spark, sf_dir):
+    """What a cleaning run counts, over raw rows with broken texts, lists and one date column with offsets."""
+    k = F.col("event_id") % 4
+    listed = F.when(k == 0, "[]").when(k == 1, "[{'a': 'Ã³ y Ã³'}]").when(k == 2, "['k']x")
+    raw = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 3 == 0, "Â¿QuÃ©?").otherwise("plain").alias("channel"), listed.alias("answers"), F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("timestamp"), F.lit("2025-08-01").alias("answerDate"))
+    return raw.agg(*runs.metrics_of(raw))
+
+
+@query("SELECT event_id, CAST(NULL AS VARCHAR) AS none, CAST(event_id AS VARCHAR) AS last FROM events")
+def answers_of_other_shapes(spark, sf_dir):
+    """An object is no list of answers; of two answers to a question the last one counts, and items that are no objects are left out."""
+    e = table(spark, sf_dir, "events").select("event_id")
+    item = lambda v: F.concat(F.lit('{"subQuestionId": "k", "answerValue": '), v, F.lit("}"))
+    listed = F.concat(F.lit("[1, "), item(F.lit("0")), F.lit(', "x", '), item(F.col("event_id").cast("string")), F.lit("]"))
+    return e.select("event_id", answers.answer(answers.items(item(F.lit("1"))), "k").alias("none"), answers.answer(answers.items(listed), "k").alias("last"))
+
+
+@query("SELECT 'banco_movil_clean' AS name, count(*) AS n, count(CASE WHEN event_id % 2 = 0 THEN 1 END) AS named FROM events")
+def placeholders_to_null(spark, sf_dir):
+    """What a load keeps: placeholders of missing values are nulls, rows all of nulls go."""
+    raw = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 2 == 0, "web").otherwise("nan").alias("channel"), F.lit("x").alias("not kept"))
+    kept = runs.for_load(raw, "BM")
+    return kept.agg(F.lit(runs.BM_TABLE).alias("name"), F.count(F.lit(1)).alias("n"), F.count("channel").alias("named")) if kept.columns == ["channel"] else kept
+
+
+@query("SELECT event_type AS channel, count(*) AS n FROM events GROUP BY 1")
+def sql_to_frame(spark, sf_dir):
+    """A SQL query through a target."""
+    name = f"sondeo_sql_{uuid.uuid4().hex}"
+    target = Warehouse(spark, partition_by=("channel",))
+    target.replace(table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("channel")), name)
+    _made.append((spark, name))
+    return target.query(f"SELECT channel, count(*) AS n FROM {name} GROUP BY channel")
+
+
+@query("SELECT 'BM' AS kind, 3 AS n, true AS scored UNION ALL SELECT 'BV', 3, true")
+def verify_rows(spark, sf_dir):
+    """A few scored rows of both loaded tables, counted: which ones they are is not fixed."""
+    rows = _responses(spark, sf_dir)
+    shown = {"BM": ("nps_score", "channel"), "BV": ("nps_score",)}
+    parts = [runs.scored_rows(rows, cols).agg(F.lit(k).alias("kind"), F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_and(F.col("nps_score").isNotNull()), F.lit(False)).alias("scored")) for k, cols in shown.items()]
+    return parts[0].union(parts[1])
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import answers, dates, scores, text
-from ..functions.encoding import fix_encoding
+from ..functions import answers, dates, jsonrepair, scores, text
+from ..functions.encoding import PLAIN_RULES, fix_encoding
 from ..operators import columns as c
 
 # Names of columns and what marks them.
@@ -19,17 +19,25 @@ SCORE_PARTS, FEEDBACK_PARTS, URL_PARTS = ("recomien", "probable"), ("motiv", "ca
 BV_DROPPED = ("Number", "User", "Hotjar User ID", "Response URL")
 BV_RENAMED = {"Country": "country", "Device": "device", "Browser": "browser", "OS": "operating_system", "Source URL": "source_url"}
 DEFAULT_MONTH = "2024-08"
+#: Kinds of files, as they are looked for in names.
+KINDS = ("BM", "BV")
 
 
 def kind_of(file_name: str) -> str:
     """BM or BV by the name of a file; BM is looked for first."""
     name = file_name.lower()
-    for kind in ("bm", "bv"):
-        if kind in name:
-            return kind.upper()
+    for kind in KINDS:
+        if kind.lower() in name:
+            return kind
     raise ValueError(f"neither bm nor bv in {file_name!r}")
 
 
+def kind_column(file_name: Column) -> Column:
+    """kind_of() by row; null where it raises."""
+    name = F.lower(file_name)
+    return F.coalesce(*(F.when(F.contains(name, F.lit(k.lower())), k) for k in KINDS))
+
+
 def _scored(df: DataFrame, name: str) -> DataFrame:
     df = df.withColumn("nps_score", scores.score(c.col(name)))
     return df.withColumn("nps_category", scores.categorize(F.col("nps_score")))
@@ -70,6 +78,16 @@ def clean_bv(df: DataFrame, run_time: datetime.datetime) -> DataFrame:
     return df.withColumns({"cleaned_date": F.lit(run_time).cast("timestamp_ntz"), "file_type": F.lit("BV")})
 
 
+def simple_answers(df: DataFrame, text_col: str = "answers") -> DataFrame:
+    """df with cleaned_text and parsed: the reduced cleaning, without a rule for a bare U+00C3, in which every single quote becomes a double one.
+
+    parsed tells whether the outcome is JSON; a text that is not stays as it is and counts for nothing.
+    """
+    cleaned = jsonrepair.swap_quotes(fix_encoding(c.col(text_col), PLAIN_RULES))
+    df = df.withColumn("cleaned_text", cleaned)
+    return df.withColumn("parsed", jsonrepair.is_json(F.col("cleaned_text")))
+
+
 @dataclass
 class Counters:
     """What a cleaning run did."""

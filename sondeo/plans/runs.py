@@ -5,19 +5,20 @@ from __future__ import annotations
 import datetime
 import logging
 from collections.abc import Callable
+from dataclasses import dataclass
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..functions.encoding import encoding_hits
+from ..functions.encoding import encoding_hits, fix_encoding
 from ..functions.jsonrepair import json_outcome
+from ..operators import aggregate, profile
 from ..operators import columns as c
-from ..operators import profile
 from ..operators.sampling import SIZE, cleaned_name, exact_sample, sample_name
 from ..sources import sinks
-from .cleaning import Counters, clean_file, kind_of
+from .cleaning import BM_DATES, BV_DATE, Counters, clean_file, kind_of
 
 log = logging.getLogger("sondeo")
 
@@ -26,32 +27,85 @@ BM_TABLE, BV_TABLE = "banco_movil_clean", "banco_virtual_clean"
 BM_KEPT = ("timestamp", "customer_id", "channel", "nps_recomendacion_score", "nps_recomendacion_motivo", "csat_satisfaccion_score", "csat_satisfaccion_motivo", "nps_score", "nps_category", "cleaned_date", "file_type", "month_year")
 BV_KEPT = ("date_submitted", "country", "source_url", "device", "browser", "operating_system", "nps_score_bv", "nps_score", "nps_category", "cleaned_date", "file_type", "month_year")
 BV_KEPT_PARTS = ("calificación", "motivo", "tags", "sentiment")
-# Parts of names that make a column worth a look.
+# Parts of names that make a column worth a look, and of those of dates.
 KEY_PARTS = ("answer", "nps", "score", "timestamp", "date")
-
-
-def observed(df: DataFrame, metrics: Observation) -> DataFrame:
-    """df, counting as it is written: rows, encoding rules that hit, answers repaired and beyond repair."""
-    texts = [n for n in c.text_columns(df) if n != "answers"]
-    hits = sum((encoding_hits(c.col(n)) for n in texts), F.lit(0))
-    outcome = json_outcome(F.col("answers")) if "answers" in df.columns else F.lit(None).cast("string")
-    return df.observe(metrics, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(hits), F.lit(0)).alias("encoding_fixed"), F.count(F.when(outcome == "fixed", 1)).alias("json_fixed"), F.count(F.when(outcome == "corrupted", 1)).alias("json_corrupted"))
-
-
-def clean_files(spark: SparkSession, paths: list[str], out_dir: str, run_time: datetime.datetime, read: Callable[[SparkSession, str], DataFrame] | None = None) -> tuple[Counters, list[str]]:
-    """Cleans each file to a folder of its own; one that fails is counted and the others go on."""
+DATE_PARTS = ("date", "time", "fecha")
+# Rows of the smoke load.
+SMOKE_ROWS = (("CUST001", 9, "mobile", "¿Recomiendas la app?", 9), ("CUST002", 7, "mobile", "¿Recomiendas la app?", 7), ("CUST003", 10, "web", "¿Recomiendas el sitio?", 10))
+
+
+#: An offset at the end of a date's text.
+OFFSET = r"\d[ ]?(Z|[+-]\d{2}:?\d{2})$"
+
+
+def metrics_of(df: DataFrame) -> list[Column]:
+    """What a cleaning run counts over raw rows: rows, encoding rules that hit (answer lists too, as raw texts), answers repaired and beyond repair, date columns with offsets in all of their values."""
+    hits = sum((encoding_hits(c.col(n)) for n in c.text_columns(df)), F.lit(0))
+    outcome = json_outcome(fix_encoding(F.col("answers"))) if "answers" in df.columns else F.lit(None).cast("string")
+    kinds = dict(df.dtypes)
+    dated = [n for n in (*BM_DATES, BV_DATE) if n in kinds]
+    offsets = [F.coalesce(F.bool_and(c.col(n).rlike(OFFSET)) if kinds[n] == "string" else F.lit(kinds[n] == "timestamp"), F.lit(False)).cast("int") for n in dated]
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(hits), F.lit(0)).cast("long").alias("encoding_fixed"),
+        F.count(F.when(outcome == "fixed", 1)).alias("json_fixed"),
+        F.count(F.when(outcome == "corrupted", 1)).alias("json_corrupted"),
+        sum(offsets, F.lit(0)).alias("timezone_fixed"),
+    ]
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, of any store that Spark reads, by name; none if its folder is not there."""
+    path, fs = _path(spark, pattern)
+    return sorted(str(s.getPath()) for s in (fs.globStatus(path) or []))
+
+
+def existing(spark: SparkSession, paths: list[str], missing: str = "skip") -> list[str]:
+    """The paths that are there. For the others the workbooks in their folder are logged; missing="abort" then raises instead of going on."""
+    if missing not in ("skip", "abort"):
+        raise ValueError(f"missing is skip or abort, not {missing!r}")
+    found = []
+    for p in paths:
+        path, fs = _path(spark, p)
+        if fs.exists(path):
+            found.append(p)
+            continue
+        folder = p.rpartition("/")[0] or "."
+        log.error("not found: %s; workbooks in its folder: %s", p, [x.rpartition("/")[2] for x in list_files(spark, f"{folder}/*.xls*")])
+        if missing == "abort":
+            raise FileNotFoundError(p)
+    return found
+
+
+def log_to_file(path: str, level: int = logging.INFO) -> logging.Handler:
+    """From now on what the library logs goes to a file of the driver's machine too, in UTF-8."""
+    handler = logging.FileHandler(path, encoding="utf-8")
+    handler.setFormatter(logging.Formatter("%(asctime)s - %(levelname)s - %(message)s"))
+    log.addHandler(handler)
+    log.setLevel(min(level, log.level or level))
+    return handler
+
+
+def clean_files(spark: SparkSession, paths: list[str] | str, out_dir: str, run_time: datetime.datetime, read: Callable[[SparkSession, str], DataFrame] | None = None) -> tuple[Counters, list[str]]:
+    """Cleans each file (a list, or a glob) to a folder of its own; one that fails is counted and the others go on."""
     counters, written = Counters(), []
-    for path in paths:
+    for path in list_files(spark, paths) if isinstance(paths, str) else paths:
         try:
             raw = read(spark, path) if read else spark.read.parquet(path)
             metrics = Observation()
-            cleaned = clean_file(observed(raw, metrics), PurePosixPath(path).name, run_time)
+            cleaned = clean_file(raw.observe(metrics, *metrics_of(raw)), PurePosixPath(path).name, run_time)
             target = f"{out_dir}/{cleaned_name(PurePosixPath(path).stem)}"
             cleaned.write.mode("overwrite").parquet(target)
             found = metrics.get
             counters.encoding_fixed += found["encoding_fixed"]
             counters.json_fixed += found["json_fixed"]
             counters.json_corrupted += found["json_corrupted"]
+            counters.timezone_fixed += found["timezone_fixed"]
             if kind_of(PurePosixPath(path).name) == "BM":
                 counters.bm_processed += found["rows"]
             else:
@@ -87,9 +141,20 @@ def describe(df: DataFrame) -> dict:
             out[f"top_{name}"] = [(r["value"], r["n"]) for r in profile.top_values(df, name).collect()]
     if "date_submitted" in df.columns:
         out["dates"] = tuple(profile.date_range(df, "date_submitted").head())
+    out["date_columns"] = c.with_any(df.columns, DATE_PARTS)
+    shown = c.keep(df, out["key_columns"] or df.columns)
+    out["head"] = [r.asDict() for r in shown.limit(3).collect()]
+    if "answers" in df.columns:
+        out["answers"] = [r.asDict() for r in first_answers(df).collect()]
     return out
 
 
+def first_answers(df: DataFrame, k: int = 3, shown: int = 150) -> DataFrame:
+    """Of the first k answer lists that are not null the beginning and what is wrong with them: a report, not a sample to work on."""
+    rows = df.where(F.col("answers").isNotNull()).limit(k)
+    return rows.select(F.substring("answers", 1, shown).alias("text"), *(x.alias(n) for n, x in profile.text_flags(F.col("answers")).items()))
+
+
 def for_load(df: DataFrame, kind: str) -> DataFrame:
     """The columns that a loaded table keeps, placeholders of missing values as nulls, dates as timestamps."""
     wanted = BM_KEPT if kind == "BM" else (*BV_KEPT, *c.with_any(df.columns, BV_KEPT_PARTS))
@@ -105,7 +170,67 @@ def load(bm: DataFrame, bv: DataFrame, target: sinks.Target) -> dict[str, int]:
     return {name: target.read(name).count() for name in (BM_TABLE, BV_TABLE)}
 
 
+@dataclass
+class Summary:
+    """What a load did. Rows are those that were written, not those of the tables."""
+
+    bm_inserted: int = 0
+    bv_inserted: int = 0
+    errors: int = 0
+    started: datetime.datetime | None = None
+    ended: datetime.datetime | None = None
+
+    @property
+    def inserted(self) -> int:
+        return self.bm_inserted + self.bv_inserted
+
+    @property
+    def valid(self) -> bool:
+        """Without errors the run may go on to larger files."""
+        return self.errors == 0
+
+    def lines(self) -> list[str]:
+        verdict = "valid: ready for larger files" if self.valid else "see to the errors before larger files"
+        return [f"BM rows: {self.bm_inserted}", f"BV rows: {self.bv_inserted}", f"rows: {self.inserted}", f"errors: {self.errors}", f"time: {self.ended - self.started if self.ended and self.started else None}", verdict]
+
+
+def load_files(spark: SparkSession, bm_path: str, bv_path: str, target: sinks.Target, read: Callable[[SparkSession, str], DataFrame] | None = None) -> Summary:
+    """A whole load: both files must be there and the target must answer, or nothing is written; then each file is loaded, counted as it is written, and one that fails leaves the other in place. Logs rows to look at and the summary."""
+    summary = Summary(started=datetime.datetime.now())
+    existing(spark, [bm_path, bv_path], "abort")
+    version = sinks.connected(target)
+    if version is None:
+        raise ConnectionError("the target does not answer")
+    log.info("connected: %s", version)
+    for kind, path, write, table in (("BM", bm_path, target.append, BM_TABLE), ("BV", bv_path, target.replace, BV_TABLE)):
+        try:
+            metrics = Observation()
+            write(for_load(read(spark, path) if read else spark.read.parquet(path), kind).observe(metrics, F.count(F.lit(1)).alias("rows")), table)
+            setattr(summary, f"{kind.lower()}_inserted", metrics.get["rows"])
+        except Exception:  # a load goes on with the other file, whatever is wrong with this one
+            log.exception("could not load %s", path)
+            summary.errors += 1
+    if summary.valid:
+        for name, rows in verify(target).items():
+            log.info("%s: %s", name, rows)
+    summary.ended = datetime.datetime.now()
+    for line in summary.lines():
+        log.info(line)
+    return summary
+
+
+def smoke_load(spark: SparkSession, target: sinks.Target, table: str, now: datetime.datetime) -> DataFrame:
+    """Three rows written to a table, read back and scored by channel: tells that a target works."""
+    rows = spark.createDataFrame([(now, *r, "2024-08") for r in SMOKE_ROWS], "timestamp timestamp_ntz, customer_id string, nps_score int, channel string, q1_title string, q1_value int, month_year string")
+    target.replace(rows, table)
+    return aggregate.score_by(target.read(table), "channel")
+
+
 def verify(target: sinks.Target, k: int = 3) -> dict[str, list]:
     """A few scored rows of each table."""
     shown = {BM_TABLE: ("nps_score", "nps_category", "nps_recomendacion_score"), BV_TABLE: ("nps_score", "device", "country")}
-    return {name: c.keep(target.read(name).where("nps_score is not null"), cols).limit(k).collect() for name, cols in shown.items()}
+    return {name: scored_rows(target.read(name), cols, k).collect() for name, cols in shown.items()}
+
+
+def scored_rows(df: DataFrame, cols: tuple[str, ...], k: int = 3) -> DataFrame:
+    return c.keep(df.where("nps_score is not null"), cols).limit(k)

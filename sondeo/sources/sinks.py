@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+log = logging.getLogger("sondeo")
 
 #: Rows of one INSERT, and connections of one write.
 BATCH_ROWS, CONNECTIONS = 1000, 8
@@ -16,17 +20,29 @@ class Target(Protocol):
     def append(self, df: DataFrame, table: str) -> None: ...
     def replace(self, df: DataFrame, table: str) -> None: ...
     def read(self, table: str) -> DataFrame: ...
+    def query(self, sql: str) -> DataFrame: ...
+    def drop(self, table: str) -> None: ...
+    def version(self) -> str: ...
 
 
 @dataclass
 class Warehouse:
-    """Parquet tables. Rows are sorted within files by month and score, so that row groups can be skipped."""
+    """Parquet tables. Rows are sorted within files by month and score, so that row groups can be skipped.
+
+    partition_by: columns (of those that a table has) whose values get folders of their own, such as month_year; a query
+    for a month then reads its folder only. It must stay the same for all writes to a table.
+    """
 
     spark: SparkSession
+    partition_by: tuple[str, ...] = ()
 
     def _write(self, df: DataFrame, table: str, mode: str) -> None:
-        order = [n for n in ("month_year", "nps_score") if n in df.columns]
-        (df.sortWithinPartitions(*order) if order else df).write.mode(mode).format("parquet").saveAsTable(table)
+        parts = [n for n in self.partition_by if n in df.columns]
+        order = parts + [n for n in ("month_year", "nps_score") if n in df.columns and n not in parts]
+        if parts:  # one file a folder and task at most; AQE splits a month that is too large
+            df = df.repartition(*parts)
+        writer = (df.sortWithinPartitions(*order) if order else df).write.mode(mode).format("parquet")
+        (writer.partitionBy(*parts) if parts else writer).saveAsTable(table)
 
     def append(self, df: DataFrame, table: str) -> None:
         self._write(df, table, "append")
@@ -37,6 +53,15 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(table)
 
+    def query(self, sql: str) -> DataFrame:
+        return self.spark.sql(sql)
+
+    def drop(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+    def version(self) -> str:
+        return self.spark.range(1).select(F.version()).head()[0]
+
 
 @dataclass
 class Jdbc:
@@ -58,6 +83,26 @@ class Jdbc:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, table, properties=self.options)
 
+    def _statement(self, use):
+        jvm = self.spark.sparkContext._jvm
+        if driver := self.options.get("driver"):
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+        properties = jvm.java.util.Properties()
+        for k, v in self.options.items():
+            properties.setProperty(k, v)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        try:
+            return use(connection)
+        finally:
+            connection.close()
+
+    def drop(self, table: str) -> None:
+        self._statement(lambda c: c.createStatement().execute(f"DROP TABLE {table}"))
+
+    def version(self) -> str:
+        """Name and version of the database, asked over a connection of its own."""
+        return self._statement(lambda c: f"{c.getMetaData().getDatabaseProductName()} {c.getMetaData().getDatabaseProductVersion()}")
+
     def query(self, sql: str) -> DataFrame:
         return self.spark.read.format("jdbc").option("url", self.url).option("query", sql).options(**self.options).load()
 
@@ -69,6 +114,15 @@ DECLARED = {
 }
 
 
+def connected(target: Target, shown: int = 50) -> str | None:
+    """The beginning of the target's version if it answers, else None; why not is logged."""
+    try:
+        return target.version()[:shown]
+    except Exception:  # whatever keeps a connection from being made
+        log.exception("no connection")
+        return None
+
+
 def declare_tables(spark: SparkSession) -> None:
     for name, cols in DECLARED.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet")

@@ -83,21 +83,35 @@ def _cell(x) -> str | None:
     return x.isoformat(" ") if isinstance(x, datetime.datetime) else str(x)
 
 
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """The first sheets of workbooks (a path or glob) as text columns; the first row names them. A workbook is one task's work.
-
-    Files are read by Spark's own reader, so any store that it knows will do. Names come from the first file; repeated
-    names get .1, .2 and so on.
-    """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    head = files.orderBy("path").limit(1).collect()
+def _names(head: list) -> list[str]:
     names: list[str] = []
-    for i, n in enumerate(next(sheet_rows(head[0]["content"]), []) if head else []):
+    for i, n in enumerate(head):
         base = _cell(n) or f"Unnamed: {i}"
         k = 0
         while (name := f"{base}.{k}" if k else base) in names:
             k += 1
         names.append(name)
+    return names
+
+
+def read_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheets of workbooks (a path or glob) as text columns; the first row names them. A workbook is one task's work.
+
+    Files are read by Spark's own reader, so any store that it knows will do. Cells go to columns by the names of their
+    own workbook. Columns are those of the first file, then the others' by name; a file without one has nulls there.
+    Repeated names get .1, .2 and so on.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def heads(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            yield pd.DataFrame({"path": pdf["path"], "names": [_names(next(sheet_rows(x), [])) for x in pdf["content"]]})
+
+    found = [r["names"] for r in files.mapInPandas(heads, "path string, names array<string>").groupBy("names").agg(F.min("path").alias("path")).orderBy("path").collect()]
+    names = list(found[0]) if found else []
+    names += sorted({n for other in found for n in other} - set(names))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
 
     def rows(batches):
@@ -106,8 +120,10 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
         for pdf in batches:
             for content in pdf["content"]:
                 body = sheet_rows(content)
-                next(body, None)
-                yield pd.DataFrame([[_cell(x) for x in (r + [None] * len(names))[: len(names)]] for r in body if any(x is not None for x in r)], columns=names, dtype=object)
+                own = _names(next(body, []))
+                at = {n: i for i, n in enumerate(own)}
+                rows = [[_cell(r[at[n]]) if n in at and at[n] < len(r) else None for n in names] for r in body if any(x is not None for x in r)]
+                yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return files.select("content").mapInPandas(rows, schema)
 

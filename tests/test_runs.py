@@ -101,3 +101,73 @@ def test_plan_pushes_down_and_exchanges_once(spark, tmp_path):
     df = aggregate.score_by(spark.read.parquet(str(tmp_path / "t")).where("nps_score is not null"), "channel")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(nps_score)" in plan and "other" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_answers_are_parsed_once(spark):
+    from sondeo.plans import catalogue
+    from tests.oracle import SMALL
+
+    plan = catalogue.bm_end_to_end(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 4 and "Filter" not in plan
+
+
+def test_missing_files(spark, tmp_path, caplog):
+    (tmp_path / "agosto_bm.xlsx").write_bytes(b"x")
+    there, gone = str(tmp_path / "agosto_bm.xlsx"), str(tmp_path / "agosto_bv.xlsx")
+    assert runs.existing(spark, [gone, there]) == [there] and "agosto_bm.xlsx" in caplog.text
+    with pytest.raises(FileNotFoundError):
+        runs.existing(spark, [there, gone], "abort")
+    with pytest.raises(ValueError):
+        runs.existing(spark, [there], "other")
+    assert [p.rpartition("/")[2] for p in runs.list_files(spark, f"{tmp_path}/*.xlsx")] == ["agosto_bm.xlsx"] and runs.list_files(spark, f"{tmp_path}/no/*.xlsx") == []
+
+
+@pytest.mark.parametrize("kind", ["warehouse", "jdbc"])
+def test_load_files_counts_and_sums_up(spark, tmp_path, kind):
+    target = sinks.Warehouse(spark, ("month_year",)) if kind == "warehouse" else sinks.Jdbc(spark, "jdbc:derby:memory:summary;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    for t in (runs.BM_TABLE, runs.BV_TABLE) if kind == "warehouse" else ():
+        target.drop(t)
+    assert sinks.connected(target)
+    cleaning.clean_bm(spark.createDataFrame([("web", "8", "[]"), ("nan", "3", "[]")], "channel string, nps_score_original string, answers string"), NOW).write.parquet(str(tmp_path / "bm"))
+    cleaning.clean_bv(spark.createDataFrame([("Perú",)], "Country string"), NOW).withColumn("nps_score", F.lit(9.0)).write.parquet(str(tmp_path / "bv"))
+    handler = runs.log_to_file(str(tmp_path / "log.txt"))
+    done = runs.load_files(spark, str(tmp_path / "bm"), str(tmp_path / "bv"), target)
+    runs.log.removeHandler(handler)
+    assert (done.bm_inserted, done.bv_inserted, done.inserted, done.errors, done.valid) == (2, 1, 3, 0, True) and done.ended >= done.started
+    assert "BM rows: 2" in (tmp_path / "log.txt").read_text()
+    assert target.read(runs.BM_TABLE).count() == 2
+    (tmp_path / "bad").mkdir()
+    failed = runs.load_files(spark, str(tmp_path / "bm"), str(tmp_path / "bad"), target)
+    assert failed.errors == 1 and not failed.valid and target.read(runs.BM_TABLE).count() == 4
+    with pytest.raises(FileNotFoundError):
+        runs.load_files(spark, str(tmp_path / "no"), str(tmp_path / "bv"), target)
+    assert sinks.connected(sinks.Jdbc(spark, "jdbc:nothing:x")) is None
+    with pytest.raises(ConnectionError):
+        runs.load_files(spark, str(tmp_path / "bm"), str(tmp_path / "bv"), sinks.Jdbc(spark, "jdbc:nothing:x"))
+    assert sorted(map(tuple, runs.smoke_load(spark, target, "smoke_rows", NOW).collect())) == [("mobile", 8.0, 2, 1, 0), ("web", 10.0, 1, 1, 0)]
+    for t in (runs.BM_TABLE, runs.BV_TABLE, "smoke_rows"):
+        target.drop(t)
+
+
+def test_declared_tables(spark):
+    for t in sinks.DECLARED:
+        sinks.Warehouse(spark).drop(t)
+    sinks.declare_tables(spark)
+    sinks.declare_tables(spark)
+    assert spark.table(runs.BM_TABLE).columns == list(runs.BM_KEPT) and spark.table(runs.BV_TABLE).count() == 0
+    for t in sinks.DECLARED:
+        sinks.Warehouse(spark).drop(t)
+
+
+def test_profile_shows_heads_and_flags(spark):
+    df = spark.createDataFrame([("[{'a': 1}]", "x"), (None, "y"), ('[{"a": "Ã"}]', "z")], "answers string, other string")
+    out = runs.describe(df)
+    assert out["key_columns"] == ["answers"] and len(out["head"]) == 3 and out["date_columns"] == []
+    assert [(r["single_quoted"], r["double_quoted"], r["broken_encoding"]) for r in sorted(out["answers"], key=lambda r: r["text"])] == [(False, True, True), (True, False, False)]
+
+
+def test_workbooks_meet_by_name(spark, tmp_path):
+    for name, df in (("a", spark.createDataFrame([("1", "2")], "x string, y string")), ("b", spark.createDataFrame([("3", "4", "5")], "y string, z string, x string"))):
+        (tmp_path / f"{name}.xlsx").write_bytes(xlsx.write_sheet(df))
+    back = xlsx.read_sheet(spark, f"{tmp_path}/*.xlsx")
+    assert back.columns == ["x", "y", "z"] and sorted(map(tuple, back.collect())) == [("1", "2", None), ("5", "3", "4")]
