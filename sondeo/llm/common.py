@@ -16,6 +16,8 @@ from pyspark.sql.window import Window
 
 #: Parts into which the rows of one key are dealt before anything gathers them.
 SALTS = 512
+#: Rows of one key that may meet in one task.
+HOT_ROWS = 100_000
 
 _own_dir: list[str] = []
 
@@ -68,6 +70,24 @@ def attach_by_key(rows: DataFrame, keys: list[str], values: DataFrame, salt_by:
     return x.join(y, on).select(*(F.col(f"x.{c}") for c in rows.columns), *(F.col(f"y.{c}") for c in more))
 
 
+def hot_keys(rows: DataFrame, key: str, most: int = HOT_ROWS) -> DataFrame | None:
+    """The keys (written down) that more than `most` rows have, at most rows / most of them; None if there are none."""
+    found = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(key), "hot")
+    return None if found.isEmpty() else found
+
+
+def join_by_key(rows: DataFrame, values: DataFrame, key: str, hot: DataFrame | None, most: int = 1_000_000) -> DataFrame:
+    """rows joined to values (at most one row per key). hot: of hot_keys(): rows of such keys stay where they are and get
+    their values by broadcast, if a count shows at most `most` of them, else in salted parts; rows of all others meet by key."""
+    if hot is None:
+        return rows.join(values, key)
+    few = values.join(F.broadcast(hot), key, "left_semi") if hot.limit(most + 1).count() <= most else None
+    if few is None:
+        return attach_by_key(rows, [key], values, [c for c in rows.columns if c != key][:1])
+    cold = rows.join(F.broadcast(hot), key, "left_anti").join(values, key)
+    return cold.unionByName(rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(few), key))
+
+
 def smallest_of_group(rows: DataFrame, keys: list[str], id_col: str, salts: int = SALTS) -> DataFrame:
     """rows with keep_id (smallest id of the rows with the same keys) and group_size.
 

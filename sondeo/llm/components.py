@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import attach_by_key, materialize
+
+#: Parts into which the neighbours of one node are dealt.
+NODE_SALTS = 64
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -19,10 +22,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     while True:
         both = stars.union(stars.select("to", "node"))
         least = both.groupBy("node").agg(F.min("to").alias("m")).select("node", F.least("m", "node").alias("m"))
-        large = both.where("to > node").join(least, "node").select(F.col("to").alias("node"), F.col("m").alias("to")).where("node <> to").distinct()
+        large = attach_by_key(both.where("to > node"), ["node"], least, ["to"], NODE_SALTS).select(F.col("to").alias("node"), F.col("m").alias("to")).where("node <> to").distinct()
         large = materialize(large, "links")
         least = large.groupBy("node").agg(F.min("to").alias("m"))
-        small = large.join(least, "node")
+        small = attach_by_key(large, ["node"], least, ["to"], NODE_SALTS)
         small = small.select("node", F.col("m").alias("to")).union(small.where("to <> m").select(F.col("to").alias("node"), F.col("m").alias("to"))).distinct()
         small = materialize(small, "links")
         # done when no node has two parents and no parent has one

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,23 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach_by_key, free_name, materialize, only_kept, rank_within, semi_join, small_batches, smallest_of_group
+from .common import attach_by_key, free_name, hot_keys, join_by_key, materialize, only_kept, rank_within, semi_join, small_batches, smallest_of_group
 from .components import connected_components
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Values that a sketch retains, and how many of the smallest have inverted lists of their own.
-RETAINED, SINGLES = 64, 16
-#: Lists of one value with more documents than this are left to the lists of runs of retained values.
-LONG_LIST = 48
-#: A pair goes on to the exact check if the union sketch says at least this Jaccard; 0.75 lies over four standard deviations higher.
-ESTIMATE = 0.5
-#: Signatures: of each of 64 hash bins two bits of its smallest value. Linked sets differ in 12 bins, give or take 3;
-#: pairs that differ in more than this, over five standard deviations, are not looked at.
-BINS, DIFFERING = 64, 28
+#: Values that a sketch retains. The bounds below lose a link of larger sets, at a Jaccard of just 0.75, with a chance of
+#: under 1e-12 each (miss_chances() computes it), less than that of two shingles with one hash; of sets that are retained whole, none.
+RETAINED = 128
+#: Of a set that is not retained whole, as many of its smallest values make runs of RUN that have inverted lists.
+LISTED, RUN = 112, 3
+#: A pair goes on to the exact check if the union sketch says at least this Jaccard.
+ESTIMATE = 0.45
+#: Signatures: of each of 64 hash bins two bits of its smallest value. Pairs that differ in more bins than this are not looked at.
+BINS, DIFFERING = 64, 37
 #: Turns in which every list is a star. Lists with more pairs across components left than this are then compared tile by tile.
-STARS, DENSE_PAIRS, TILE_ROWS = 2, 2_000, 512
+STARS, DENSE_PAIRS, TILE_ROWS, TILE_SHINGLES = 2, 2_000, 512, 1 << 20
 #: Texts that are hashed between two results.
 PART_ROWS = 512
 #: Bytes of text that are hashed at a time.
@@ -149,33 +150,43 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t")).mapInPandas(sketch, schema)
 
 
+def miss_chances(jaccard: float = PERCENT / 100) -> dict[str, float]:
+    """Chances that a link of large sets with this Jaccard has no list in common, differs in too many bins, or is estimated too low."""
+    runs = [1.0] + [0.0] * (RUN - 1)  # by length of the run of common values that ends here
+    for _ in range(LISTED):
+        runs = [sum(runs) * (1 - jaccard), *(x * jaccard for x in runs[:-1])]
+    at_most = lambda n, p, k: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    same = 1 - 0.75 * (1 - jaccard)
+    return {"lists": sum(runs), "signature": at_most(BINS, same, BINS - DIFFERING - 1), "estimate": at_most(RETAINED, jaccard, math.ceil(ESTIMATE * RETAINED) - 1)}
+
+
 def _keys(n: int, values: np.ndarray) -> np.ndarray:
-    """The lists that a document is in: those of its smallest values (even keys) and of runs of retained values (odd keys).
+    """The lists that a document is in: those of runs of neighbouring retained values.
 
-    Two sets with a Jaccard of 3/4 have, between the at most U/4 values that one of them lacks, a run of 2 common ones if
-    the union has U >= 4 values and of 3 if U > 8: for sets that are retained whole these runs are sure to meet. Of larger
-    sets, runs of 4 among RETAINED values meet but for a chance of about 1 in 20,000, and besides, one of the SINGLES
-    smallest values is common but for a chance of 1 in 4**SINGLES.
+    Two different sets with a Jaccard of 3/4 have a union of U >= 4 values. Between the at most U/4 values that one of them
+    lacks there is a run of 2 common ones, and of 3 if U > 8: for sets that are retained whole these lists are sure to meet.
+    Of larger sets, runs of RUN among the LISTED smallest values of the union meet but for miss_chances().
     """
-    single = mixed(values[:SINGLES]) & ~np.uint64(1)
-    runs = []
-    for length, low, high in ((2, 3, 11), (3, 7, RETAINED * 4 // 3 + 1), (4, RETAINED + 1, 1 << 62)):
-        if low <= n <= high and len(values) >= length:
+    values = values if n <= RETAINED else values[:LISTED]
+    runs = [np.zeros(0, np.uint64)]
+    for length, low, high in ((2, 3, 11), (RUN, 7, 1 << 62)):
+        if low <= n <= high:
             m = len(values) - length + 1
             total = np.full(m, length, np.uint64)
             for k in range(length):
                 total = mixed(total + values[k : k + m])
-            runs.append(total | np.uint64(1))
-    return np.concatenate([single, *runs])
+            runs.append(total)
+    return np.concatenate(runs)
 
 
 def inverted_lists(reps: DataFrame, n_reps: int) -> DataFrame:
-    """(list, doc): the inverted lists that hold at least two documents.
+    """(list, doc): the inverted lists that hold at least two documents; none is too long to be there.
 
-    Keys and documents travel as arrays, dealt by key. Of a key that one batch holds more than LONG_LIST times, the rest
-    is dealt by batch: such a list is known to hold two, and need not meet in one task.
+    Keys and documents travel as arrays. A batch sends each of its keys once to the key's part, with a mark if it has the
+    key again; those further documents are known to be in a list of two and are dealt by batch. So a key gets to one task
+    as often as there are batches that hold it, not documents.
     """
-    parts = max(8, n_reps * (RETAINED + SINGLES) // 400_000)
+    parts = max(8, n_reps * LISTED // 400_000)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -184,37 +195,33 @@ def inverted_lists(reps: DataFrame, n_reps: int) -> DataFrame:
             keys = [_keys(n, np.frombuffer(s, np.uint64)) for n, s in zip(pdf["n"], pdf["sketch"], strict=True)]
             docs = np.repeat(pdf["doc"].to_numpy(np.int64), [len(k) for k in keys])
             key = np.concatenate(keys)
+            if not len(key):
+                continue
             order = np.lexsort((docs, key))
             key, docs = key[order], docs[order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            place = np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key))))
-            run = (key & np.uint64(1)) == 1
-            sure = run & (place > LONG_LIST)
-            keep = sure | (place <= LONG_LIST)
-            key, docs, sure = key[keep], docs[keep], sure[keep]
-            part = (mixed(key ^ np.where(sure, mixed(docs.astype(np.uint64)), np.uint64(0))) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part * 2 + sure, kind="stable")
-            key, docs, part, sure = key[order], docs[order], part[order], sure[order]
-            for a, b in zip(*(lambda e: (e[:-1], e[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(part * 2 + sure)) + 1, [len(key)]])), strict=True):
-                yield pd.DataFrame({"part": [part[a]], "sure": [bool(sure[a])], "keys": [key[a:b].tobytes()], "docs": [docs[a:b].tobytes()]})
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            again = np.append(~new[1:], False)
+            kind = np.where(new, np.where(again, ONE_OF_MORE, ALONE), FURTHER)
+            part = (mixed(key ^ np.where(new, np.uint64(0), mixed(docs.astype(np.uint64)))) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part * 3 + kind, kind="stable")
+            key, docs, part, kind = key[order], docs[order], part[order], kind[order]
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(part * 3 + kind)) + 1, [len(key)]])
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield pd.DataFrame({"part": [part[a]], "kind": [kind[a]], "keys": [key[a:b].tobytes()], "docs": [docs[a:b].tobytes()]})
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for sure, own in pdf.groupby("sure"):
-            key = np.frombuffer(b"".join(own["keys"]), np.uint64)
-            docs = np.frombuffer(b"".join(own["docs"]), np.int64)
-            if not sure:
-                order = np.argsort(key, kind="stable")
-                key, docs = key[order], docs[order]
-                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                length = np.diff(np.append(first, len(key)))
-                length = np.repeat(length, length)
-                keep = (length > 1) & (((key & np.uint64(1)) == 1) | (length <= LONG_LIST))
-                key, docs = key[keep], docs[keep]
-            out.append(pd.DataFrame({"list": key.view(np.int64), "doc": docs}))
-        return pd.concat(out)
-
-    dealt = reps.select("doc", "n", "sketch").mapInPandas(deal, "part long, sure boolean, keys binary, docs binary")
+        key = np.frombuffer(b"".join(pdf["keys"]), np.uint64)
+        docs = np.frombuffer(b"".join(pdf["docs"]), np.int64)
+        kind = np.repeat(pdf["kind"].to_numpy(), [len(k) // 8 for k in pdf["keys"]])
+        order = np.argsort(key, kind="stable")
+        key, docs, kind = key[order], docs[order], kind[order]
+        same = key[1:] == key[:-1]
+        met = np.concatenate([[False], same]) | np.append(same, False)
+        keep = met | (kind != ALONE)
+        return pd.DataFrame({"list": key[keep].view(np.int64), "doc": docs[keep]})
+
+    ALONE, ONE_OF_MORE, FURTHER = 0, 1, 2
+    dealt = reps.select("doc", "n", "sketch").mapInPandas(deal, "part long, kind long, keys binary, docs binary")
     return dealt.groupBy("part").applyInPandas(gather, "list long, doc long")
 
 
@@ -319,14 +326,15 @@ def _tile_links(a: pd.Series, b: pd.Series | None) -> list[tuple[int, int]]:
 
 
 def linked_in_tiles(dense: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) that join different components within dense lists (list, doc, rows, comp), found on full sets.
+    """Links (a, b) that join different components within dense lists (list, doc, rows, weight, comp), found on full sets.
 
-    A document's home is the largest of its dense lists, and homes are dealt into tiles of about TILE_ROWS documents.
+    A document's home is the largest of its dense lists, and homes are dealt into tiles of about TILE_ROWS documents, or
+    of fewer that have about TILE_SHINGLES shingles together.
     Two tiles that meet in a list are compared as matrices, once, however many lists they meet in: rows are made for
     pairs of tiles and for links found, never for pairs of documents.
     """
-    home = dense.groupBy("doc").agg(F.max_by(F.struct("list", "rows"), F.struct("rows", "list")).alias("h"), F.first("comp").alias("comp"))
-    parts = F.ceil(F.col("h.rows") / TILE_ROWS).cast("int")
+    home = dense.groupBy("doc").agg(F.max_by(F.struct("list", "rows", "weight"), F.struct("rows", "list")).alias("h"), F.first("comp").alias("comp"))
+    parts = F.ceil(F.greatest(F.col("h.rows") / TILE_ROWS, F.col("h.weight") / TILE_SHINGLES)).cast("int")
     tiled = materialize(home.select("doc", "comp", F.xxhash64("h.list", F.pmod(F.xxhash64("doc"), parts)).alias("tile")), "tiles")
     meet = dense.select("list", "doc").join(tiled.select("doc", "tile"), "doc").select("list", "tile").distinct()
     pairs = meet.toDF("list", "tile_a").join(meet.toDF("list", "tile_b"), "list").where("tile_a <= tile_b").select("tile_a", "tile_b").distinct()
@@ -366,6 +374,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = smallest_of_group(rows.where("n > 0").select("doc", "same"), ["same"], "doc")
     reps = materialize(classes.where("doc = keep_id").select("doc").distinct().join(rows.where("n > 0").dropDuplicates(["doc"]), "doc"), "reps")
     lists = materialize(inverted_lists(reps, reps.count()), "lists")
+    hot = hot_keys(lists, "list")
     sizes = reps.select("doc", "n", "s1", "s2")
     found = checked = component = sets = None
     for turn in range(STARS + 1):
@@ -373,22 +382,22 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         own = own.withColumn("comp", F.col("doc")) if component is None else own.join(component, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
         own = own.select("list", "doc", "n", "s1", "s2", "comp")
         mixed_lists = own.groupBy("list").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("list")
-        own = materialize(own.join(mixed_lists, "list", "left_semi"), "open")
-        by_comp = own.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("k"))
+        own = materialize(join_by_key(own, mixed_lists, "list", hot), "open")
+        by_comp = own.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("w"))
         last = turn == STARS
         if last:
             # all pairs left: those of documents outside a list's largest component with one another and with that component
-            by_list = by_comp.groupBy("list").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.sum("k").alias("rows"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("left"))
+            by_list = by_comp.groupBy("list").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.sum("k").alias("rows"), F.sum("w").alias("weight"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("left"))
             by_list = materialize(by_list, "left")
-            dense = own.join(by_list.where(F.col("left") > DENSE_PAIRS).select("list", "rows"), "list").select("list", "doc", "rows", "comp")
+            dense = join_by_key(own, by_list.where(F.col("left") > DENSE_PAIRS).select("list", "rows", "weight"), "list", hot).select("list", "doc", "rows", "weight", "comp")
             in_tiles = linked_in_tiles(dense, docs, id_col, text_col)
             top = by_list.where(F.col("left") <= DENSE_PAIRS).select("list", "top")
-            marked = own.join(top, "list")
+            marked = join_by_key(own, top, "list", hot)
             rest = marked.where("comp <> top").select("list", *(F.col(x).alias(f"o_{x}") for x in ("doc", "n", "s1", "s2", "comp")))
             pairs = rest.join(marked, "list").where(f"comp <> o_comp and (comp = top or o_doc < doc) and {_alike('', 'o_')}").select(F.least("o_doc", "doc").alias("a"), F.greatest("o_doc", "doc").alias("b"))
         else:
             head = own.groupBy("list").agg(F.min_by(F.struct("doc", "comp", "n", "s1", "s2"), F.xxhash64("doc", F.lit(turn))).alias("h"))
-            pairs = own.join(head, "list").where(f"comp <> h.comp and {_alike('', 'h.')}").select(F.least("doc", "h.doc").alias("a"), F.greatest("doc", "h.doc").alias("b"))
+            pairs = join_by_key(own, head, "list", hot).where(f"comp <> h.comp and {_alike('', 'h.')}").select(F.least("doc", "h.doc").alias("a"), F.greatest("doc", "h.doc").alias("b"))
         pairs = pairs.distinct()
         pairs = materialize(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = pairs if checked is None else checked.union(pairs)

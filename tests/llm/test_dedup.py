@@ -78,6 +78,76 @@ def test_near_on_small_table(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op1_near_dedup(spark, SMALLER).collect()} == want
 
 
+def prefix_filter_join(rows):
+    """Components by an exact join: shingles rarest first, a quarter of a set and one more must hold a common one."""
+    sets = {i: shingles(t) for i, t in rows}
+    count = {}
+    for s in sets.values():
+        for x in s:
+            count[x] = count.get(x, 0) + 1
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    index = {}
+    for i, s in sorted(sets.items()):
+        near = set()
+        for x in sorted(s, key=lambda x: (count[x], x))[: len(s) - -(-3 * len(s) // 4) + 1]:
+            near.update(index.get(x, ()))
+            index.setdefault(x, []).append(i)
+        for j in near:
+            if 100 * len(s & sets[j]) >= 75 * len(s | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def test_near_equals_a_prefix_filter_join(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = prefix_filter_join(rows)
+    assert sum(n > near_dedup.RETAINED for n, _ in want.values()) > 100
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op1_near_dedup(spark, sf).collect()} == want
+
+
+def test_near_with_long_lists_and_large_sets(docs):
+    """Long lists (a passage in 400 documents), and chains of large sets on both sides of the threshold."""
+    passage = prose(900, 160)
+    rows = [(k, f"{prose(1000 + k, 90)} {passage} {prose(3000 + k, 60 + k % 50)}") for k in range(400)]
+    for c in range(40):
+        words = prose(6000 + c, 500).split()
+        for step in range(4):
+            at = 137 * step % 300
+            words[at : at + 30 + c] = prose(9000 + 10 * c + step, 30 + c).split()
+            rows.append((1000 + 10 * c + step, " ".join(words)))
+    want = prefix_filter_join(rows)
+    sizes = {}
+    for _, c in want.values():
+        sizes[c] = sizes.get(c, 0) + 1
+    assert {1, 4} <= set(sizes.values())
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_components(docs(rows)).collect()} == want
+
+
+def test_chances_of_missing_a_link():
+    assert all(x < 1e-12 for x in near_dedup.miss_chances().values())
+    assert all(x < 1e-20 for x in near_dedup.miss_chances(0.9).values())
+
+
+def test_lists_of_hot_keys_join_apart(spark):
+    from sondeo.llm import common
+
+    rows = spark.createDataFrame([(1, k) for k in range(50)] + [(2, 7), (3, 8)], "list long, doc long")
+    values = spark.createDataFrame([(1, "a"), (2, "b")], "list long, v string")
+    want = sorted(map(tuple, rows.join(values, "list").select("list", "doc", "v").collect()))
+    hot = common.hot_keys(rows, "list", 10)
+    assert [r["list"] for r in hot.collect()] == [1] and common.hot_keys(rows, "list", 100) is None
+    for h, most in ((hot, 10), (hot, 0), (None, 10)):
+        assert sorted(map(tuple, common.join_by_key(rows, values, "list", h, most).select("list", "doc", "v").collect())) == want
+
+
 def test_drop_near_copies_keeps_columns_and_one_of_each(docs):
     table = docs(cases())
     out = near_dedup.drop_near_copies(table)
