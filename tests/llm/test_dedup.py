@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sondeo.llm import exact_dedup, near_dedup, queries, suffix_dedup
+from sondeo.llm import exact_dedup, near_dedup, queries, suffix_dedup, suffix_sort
 from sondeo.llm.components import connected_components
 from tests.llm.conftest import prose
 from tests.oracle import SMALL, same
@@ -241,20 +241,49 @@ def test_repeated_strings(spark, tmp_path):
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], r.doc_id
 
 
-def test_anchors_with_many_surroundings(monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "LONG_LANE", 150)
-    middle = "the middle gram of all of them"
-    texts = [(f"left{k % 7}side{k % 5} " * 3 + middle + f" right{k % 4}end{k % 3}" * 3).encode() for k in range(40)]
-    ids = np.arange(40)
-    got = suffix_dedup._label(np.array([5, 6] * 20, np.uint64), texts, ids, ids)
-    for parity in (0, 1):
-        having = {}
-        for k in range(parity, 40, 2):
-            for w in range(len(texts[k]) - 49):
-                having.setdefault(texts[k][w : w + 50], set()).add(k)
-        for k in range(parity, 40, 2):
-            want = [having[texts[k][w : w + 50]] for w in range(len(texts[k]) - 49)]
-            assert got[k].tolist() == [min(h) if len(h) > 1 else suffix_dedup.NO_DOC for h in want]
+def snippets_of(texts):
+    """(key, bytes, document) of every anchor of every text."""
+    for i, text in enumerate(texts):
+        at, h = suffix_dedup.anchors(np.frombuffer(text, np.uint8))
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield int(h[at[a]] >> np.uint64(24)), text[a : b + 49], i
+
+
+@pytest.mark.parametrize("lane, long", [(100, 100), (700, 400), (4096, 4096), (10**9, 10**9)])
+def test_anchors_with_many_surroundings(monkeypatch, lane, long):
+    monkeypatch.setattr(suffix_dedup, "LANE_BYTES", lane)
+    monkeypatch.setattr(suffix_sort, "LONG", long)
+    middle = "the middle gram of all of them, and more that all of them have, aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"
+    texts = [(f"left{k % 7}side{k % 5} " * 3 + middle + f" right{k % 4}end{k % 3}" * 3 + f" and then {k * 7919 % 1009} follows" * 2).encode() for k in range(60)]
+    keys, parts, ids = zip(*snippets_of(texts), strict=True)
+    got = suffix_dedup._label(np.array(keys, np.uint64), list(parts), np.array(ids), np.array(ids))
+    having = {}
+    for k, part, i in zip(keys, parts, ids, strict=True):
+        for w in range(len(part) - 49):
+            having.setdefault((k, part[w : w + 50]), set()).add(i)
+    for k, part, labels in zip(keys, parts, got, strict=True):
+        want = [having[k, part[w : w + 50]] for w in range(len(part) - 49)]
+        assert labels.tolist() == [min(h) if len(h) > 1 else suffix_dedup.NO_DOC for h in want]
+
+
+def test_single_strings_meet_in_the_suffix_array():
+    strings = [bytes([65 + k % 5]) * 50 for k in range(40)] + [b"b" * 49 + bytes([k]) for k in range(40)]
+    keys = np.array([suffix_dedup.SINGLE | hash(s) % 3 for s in strings], np.uint64)
+    got = suffix_dedup._label(keys, strings, np.arange(80), np.arange(80))
+    same_lane = {}
+    for k, s in enumerate(strings):
+        same_lane.setdefault(s, []).append(k)
+    assert [x[0] for x in got] == [min(v) if len(v := same_lane[s]) > 1 else suffix_dedup.NO_DOC for s in strings]
+
+
+@pytest.mark.parametrize("batches", [0, 1])
+def test_hot_anchors_change_nothing(spark, monkeypatch, batches):
+    docs = spark.read.parquet(f"{SMALLER}/documents.parquet").repartition(5)
+    want = brute_repeats([(r.doc_id, r.text) for r in docs.collect()])
+    monkeypatch.setattr(suffix_dedup, "HOT_BATCHES", batches)
+    found = suffix_dedup.find_repeats(docs).collect()
+    assert {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans)) for r in found} == {i: w[:3] for i, w in want.items()}
 
 
 def test_repeats_on_small_table(spark):
@@ -273,6 +302,11 @@ def test_suffix_arrays(strings):
 
     strings = [[*s, 0] for s in strings]
     starts = np.cumsum([0] + [len(s) for s in strings])[:-1]
-    got = suffix_arrays(np.array([x for s in strings for x in s], np.int64), starts)
-    for s, a in zip(strings, starts, strict=True):
-        assert (got[a : a + len(s)] - a).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+    usual = suffix_sort.LONG
+    try:
+        for suffix_sort.LONG in (usual, 5, 0):  # all together, some alone, all alone
+            got = suffix_arrays(np.array([x for s in strings for x in s], np.int64), starts)
+            for s, a in zip(strings, starts, strict=True):
+                assert (got[a : a + len(s)] - a).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+    finally:
+        suffix_sort.LONG = usual
