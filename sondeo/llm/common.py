@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import pickle
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,7 +14,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: Parts into which the rows of one key are dealt before anything gathers them.
@@ -20,15 +22,20 @@ SALTS = 512
 HOT_ROWS = 100_000
 
 _own_dir: list[str] = []
+#: Tables that were written, by open tidied() call.
+_written: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; only without one (as in tests) a folder of this machine."""
+    """The folder that the cluster shares. Where driver and executors are one process (as in tests) and none is set, a folder of this machine, until the process ends."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="sondeo-"))
+        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
     return f"file://{_own_dir[0]}"
 
 
@@ -36,18 +43,37 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sondeo-{label}-{uuid.uuid4().hex}"
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_materialized(df: DataFrame) -> None:
-    """Removes the files of a table that materialize() wrote and nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/sondeo-" in name:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def tidied(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """make, after which only those of the tables that it wrote are left which its result still reads.
+
+    They fall to the caller, if that is tidied too. Of what a failed call wrote nothing is left.
+    """
+
+    @functools.wraps(make)
+    def run(spark: SparkSession, *args, **kwargs) -> DataFrame:
+        _written.append([])
+        read: list[str] = []
+        try:
+            out = make(spark, *args, **kwargs)
+            read = out.inputFiles()
+            return out
+        finally:
+            own = _written.pop()
+            kept = {p for p in own if any(p.rpartition("/")[2] in f for f in read)}
+            for p in own:
+                if p not in kept:
+                    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+                    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            if _written:
+                _written[-1] += sorted(kept)
+
+    return run
 
 
 def salt(*cols: str | Column, salts: int = SALTS) -> Column:
@@ -161,5 +187,3 @@ def in_one_task(spark: SparkSession, work: Callable[[], dict[str, np.ndarray]])
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-LONG, STRING, BINARY = T.LongType(), T.StringType(), T.BinaryType()

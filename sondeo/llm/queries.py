@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, chat_format, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality, suffix_dedup
-from .common import materialize, table
+from .common import materialize, table, tidied
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 #: Scores from here on count as good.
@@ -87,7 +87,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
+    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -341,3 +341,43 @@ def test_pipeline_stages(spark):
         pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
     assert {r.doc_id for r in pieces} == before.keys()
     assert len(corpus_pipeline.run(spark, SMALL).collect()) == len(pieces)
+
+
+def test_written_tables_go_when_nothing_reads_them(spark, tmp_path, monkeypatch):
+    from sondeo.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    left = lambda: sorted(p.name.split("-")[1] for p in tmp_path.iterdir())
+
+    @common.tidied
+    def inner(spark):
+        a = common.materialize(spark.range(5), "a")
+        return common.materialize(a.selectExpr("id + 1 as id"), "b").where("id > 1")
+
+    @common.tidied
+    def outer(spark):
+        return common.materialize(inner(spark).join(common.materialize(spark.range(3), "c"), "id"), "d")
+
+    assert sorted(r.id for r in inner(spark).collect()) == [2, 3, 4, 5] and left() == ["b"]
+    assert [r.id for r in outer(spark).collect()] == [2] and left() == ["b", "d"]
+
+    @common.tidied
+    def failing(spark):
+        common.materialize(spark.range(5), "e")
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        failing(spark)
+    assert left() == ["b", "d"]
+    n = queries.queries()["op9_exact_dedup"](spark, SMALL).count()
+    assert n == spark.read.parquet(f"{SMALL}/documents.parquet").count() and left() == ["b", "d", "rows"]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from sondeo.llm import common
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://x", getConf=lambda: SimpleNamespace(get=lambda *_: None)))
+    with pytest.raises(RuntimeError):
+        common.shared_dir(cluster)
