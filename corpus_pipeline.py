@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondeo.llm import exact_dedup, mixing, near_dedup, packing, quality
-from sondeo.llm.common import materialize, semi_join, table
+from sondeo.llm.common import materialize, semi_join, table, tidied
 from sondeo.llm.queries import GOOD, vocabulary
 
 
@@ -68,9 +68,10 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+@tidied
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES over documents; each result is written as Parquet to the shared folder and read again."""
+    """STAGES over documents; each result is written as Parquet to the shared folder and read again. What a stage wrote for itself goes with it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = tidied(lambda spark, docs, name=name, stage=stage: materialize(stage(spark, docs, sf_dir), name))(spark, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
