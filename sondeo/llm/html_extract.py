@@ -17,7 +17,9 @@ from .html_blocks import Leaf, leaves
 PATH_DIMS, WORD_DIMS, OTHER_DIMS, HIDDEN = 96, 24, 6, 20
 DIMS = PATH_DIMS + WORD_DIMS + OTHER_DIMS
 #: Pages of the table, and made-up pages, that the labeller learns from; both are bounds, whatever the size of the table.
-FIT_PAGES, MADE_PAGES = 200, 700
+FIT_PAGES, MADE_PAGES = 200, 900
+#: Share of them whose class names and ids are replaced by made-up words.
+NAMELESS = 0.4
 
 #: Elements and name parts that tell a page's furniture from its article.
 FURNITURE_TAGS = frozenset("nav header footer aside form button label menu dialog fieldset legend".split())
@@ -208,15 +210,31 @@ def made_page(rng: np.random.Generator, words: list[str]) -> list[tuple[Leaf, bo
     return out
 
 
+def renamed(page: list[Leaf], rng: np.random.Generator) -> list[Leaf]:
+    """The page with a made-up word for each class or id: what is left are elements, order, lengths, links and words."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names: dict[str, str] = {}
+    new = lambda: "." + "".join(letters[k] for k in rng.integers(26, size=rng.integers(3, 9)))
+    return [Leaf(tuple(names.setdefault(x, new()) if x[0] == "." else x for x in leaf.path), leaf.text, leaf.linked) for leaf in page]
+
+
 def fit_labeller(sample: list[str]) -> Labeller:
-    """Learns from made-up pages, in words of the sample's pages, and from those pages with what their paths say."""
+    """Learns from made-up pages, in words of the sample's pages, and from those pages with what their paths say.
+
+    A share of both comes with names that say nothing, and keeps its labels: so elements, order, lengths and links of a
+    block and of those round it have to tell furniture whose names are on no list.
+    """
     parsed = [p for p in map(leaves, sample) if p]
     words = sorted({w for p in parsed for leaf in p for w in leaf.text.split()})[:20_000] or ["text", "words", "pages"]
     rng = np.random.default_rng(11)
-    pages = [(vectors(p), np.array([is_main(x.path) for x in p], np.float32)) for p in parsed]
+    pages = []
+    for p in parsed:
+        y = np.array([is_main(x.path) for x in p], np.float32)
+        pages.append((vectors(renamed(p, rng) if rng.random() < NAMELESS else p), y))
     for _ in range(MADE_PAGES):
         made = made_page(rng, words)
-        pages.append((vectors([x for x, _ in made]), np.array([y for _, y in made], np.float32)))
+        page, y = [x for x, _ in made], np.array([y for _, y in made], np.float32)
+        pages.append((vectors(renamed(page, rng) if rng.random() < NAMELESS else page), y))
     return Labeller().fit(pages)
 
 

@@ -62,6 +62,29 @@ def test_labeller_on_unseen_pages():
     assert wrong / seen < 0.03
 
 
+def test_labeller_where_names_say_nothing(spark):
+    """Table pages and made-up ones with a made-up word for each class: furniture has to be told by the rest."""
+    pages = [leaves(r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
+    pages = [p for p in pages if p]
+    model = html_extract.fit_labeller([])  # has seen none of them
+    rng = np.random.default_rng(78)
+    wrong = seen = 0
+    for p in pages:
+        got = model.label([html_extract.vectors(html_extract.renamed(p, rng))])[0]
+        wrong, seen = wrong + int((got != np.array([html_extract.is_main(x.path) for x in p])).sum()), seen + len(p)
+    assert wrong / seen < 0.02 and any("." in x for p in pages for leaf in p for x in leaf.path)
+    wrong = seen = 0
+    for _ in range(150):
+        made = html_extract.made_page(rng, ["unseen", "words", "here"])
+        got = model.label([html_extract.vectors(html_extract.renamed([x for x, _ in made], rng))])[0]
+        wrong, seen = wrong + int((got != np.array([y for _, y in made])).sum()), seen + len(made)
+    assert wrong / seen < 0.12
+
+
+def test_extract_of_an_empty_table(spark):
+    assert html_extract.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     model = html_extract.Labeller()
