@@ -5,6 +5,7 @@ The tables hold no broken texts, so some queries break rows first, by a rule on
 
 from __future__ import annotations
 
+import atexit
 import datetime
 import uuid
 from collections.abc import Callable
@@ -285,14 +286,17 @@ def _through(spark: SparkSession, df: DataFrame, name: str, write: Callable[[War
     return spark.table(name)
 
 
-#: Tables that sink queries wrote, each until the next such query or the end of the process: a result is read after its query returns.
+#: Tables that sink queries wrote. They stay to the end of the process, as a result is read after its query returns.
 _made: list[tuple[SparkSession, str]] = []
 
 
+@atexit.register
 def drop_made_tables() -> None:
+    """Drops them, where their session still runs. Whoever runs such queries for long may call it between."""
     while _made:
         spark, name = _made.pop()
-        Warehouse(spark).drop(name)
+        if spark.sparkContext._jsc is not None:
+            Warehouse(spark).drop(name)
 
 
 @query("SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events")
@@ -371,7 +375,7 @@ def key_columns(spark, sf_dir):
     return c.keep(orders, c.with_any(orders.columns, runs.KEY_PARTS))
 
 
-@query("SELECT * FROM (VALUES ('mobile', 8.0::DOUBLE, 2, 1, 0), ('web', 10.0, 1, 1, 0)) t(channel, avg_nps, total, promoters, detractors)")
+@query("SELECT * FROM (VALUES ('mobile', 8.0::DOUBLE, 2::BIGINT, 1::BIGINT, 0::BIGINT), ('web', 10.0, 1, 1, 0)) t(channel, avg_nps, total, promoters, detractors)")
 def smoke_load(spark, sf_dir):
     """Rows given here, written, read back and scored."""
     name = f"sondeo_smoke_{uuid.uuid4().hex}"
@@ -423,7 +427,7 @@ def sql_to_frame(spark, sf_dir):
     return target.query(f"SELECT channel, count(*) AS n FROM {name} GROUP BY channel")
 
 
-@query("SELECT 'BM' AS kind, 3 AS n, true AS scored UNION ALL SELECT 'BV', 3, true")
+@query("SELECT 'BM' AS kind, CAST(3 AS BIGINT) AS n, true AS scored UNION ALL SELECT 'BV', 3, true")
 def verify_rows(spark, sf_dir):
     """A few scored rows of both loaded tables, counted: which ones they are is not fixed."""
     rows = _responses(spark, sf_dir)

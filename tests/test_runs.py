@@ -171,3 +171,13 @@ def test_workbooks_meet_by_name(spark, tmp_path):
         (tmp_path / f"{name}.xlsx").write_bytes(xlsx.write_sheet(df))
     back = xlsx.read_sheet(spark, f"{tmp_path}/*.xlsx")
     assert back.columns == ["x", "y", "z"] and sorted(map(tuple, back.collect())) == [("1", "2", None), ("5", "3", "4")]
+
+
+def test_tables_of_sink_queries_can_be_dropped(spark):
+    from sondeo.plans import catalogue
+    from tests.oracle import SMALL
+
+    assert catalogue.append_sink(spark, SMALL).count() == 2000 and catalogue._made
+    names = [n for _, n in catalogue._made]
+    catalogue.drop_made_tables()
+    assert not any(spark.catalog.tableExists(n) for n in names)
