@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import ann, chat_format, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality, suffix_dedup
 from .common import materialize, table, tidied
@@ -69,11 +70,24 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def as_log(rows: DataFrame) -> DataFrame:
+    """An event log whose folded messages are the rows (conv_id, turn, role, text): answers are drafted, begun anew and
+    streamed in two halves, what others say is first sent without its end and then edited. Of rows of one turn, one after
+    the other comes by role and text."""
+    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    first, second = text.substr(F.lit(1), half), text.substr(half + 1, F.length(text))
+    event = lambda kind, x: F.struct(F.lit(kind).alias("kind"), x.alias("text"))
+    answer = F.array(event("message", second), event("delta", first), event("regenerate", F.lit("")), event("delta", first), event("delta", second))
+    nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy(role, text))
+    events = rows.withColumn("nth", nth).select("conv_id", "turn", "nth", "role", F.posexplode(F.when(role == "assistant", answer).otherwise(F.array(event("message", first), event("edit", text)))).alias("at", "event"))
+    return events.select("conv_id", "turn", (F.col("nth") * 8 + F.col("at")).cast("long").alias("seq"), "event.kind", "role", "event.text")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
-    log = rows.unionByName(own).withColumns({"seq": F.col("turn"), "kind": F.lit("message")})
-    back = chat_format.parse(chat_format.format_log(log))
+    back = chat_format.parse(chat_format.format_log(as_log(rows.unionByName(own))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join("learned", "")
     return back.select(
