@@ -151,7 +151,8 @@ def bounded_sample(rows: DataFrame, id_col: str, n: int) -> DataFrame:
     """At most n rows, the same on every run: of n hashed buckets of ids, one id each. Partial sums and the result are bounded by n, whatever the table's size."""
     known = rows.where(F.col(id_col).isNotNull())
     picked = known.groupBy(salt(id_col, F.lit("sample"), salts=n).alias("_bucket")).agg(F.min_by(id_col, F.xxhash64(id_col)).alias(id_col)).select(id_col)
-    return known.join(F.broadcast(picked), id_col, "left_semi").limit(n)
+    found = known.join(F.broadcast(picked), id_col, "left_semi")
+    return found.orderBy(id_col, F.xxhash64(*found.columns)).limit(n)  # rows that repeat an id may be more than n
 
 
 def only_kept(docs: DataFrame, kept: DataFrame, col: str, *more: str) -> DataFrame:

@@ -381,3 +381,12 @@ def test_a_cluster_must_name_its_shared_folder():
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://x", getConf=lambda: SimpleNamespace(get=lambda *_: None)))
     with pytest.raises(RuntimeError):
         common.shared_dir(cluster)
+
+
+def test_samples_are_the_same_on_every_run(spark):
+    from sondeo.llm import common
+
+    rows = [(i % 40, f"text {i}") for i in range(400)] + [(None, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    samples = [common.bounded_sample(table.repartition(k), "doc_id", 16).collect() for k in (1, 3, 7)]
+    assert samples[0] == samples[1] == samples[2] and len(samples[0]) == 16
