@@ -32,7 +32,7 @@ def items(text: Column) -> Column:
 
     def value(m: Column) -> Column:
         rendered = let(F.try_element_at(m, F.lit(VALUE_KEY)), lambda v: F.when(v == "true", "True").when(v == "false", "False").otherwise(F.coalesce(v, F.lit("None"))))
-        return F.when(~F.map_contains_key(m, VALUE_KEY), "").otherwise(fix_encoding(rendered))
+        return F.when(~F.map_contains_key(m, VALUE_KEY), "").otherwise(let(rendered, lambda v: fix_encoding(v)))
 
     def key(m: Column) -> Column:
         return F.when(~F.map_contains_key(m, ID_KEY), "").otherwise(F.coalesce(F.try_element_at(m, F.lit(ID_KEY)), F.lit("None")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,9 +26,12 @@ PLAIN_RULES = tuple(r for r in RULES if r[0] != "Ã")
 
 
 def fix_encoding(text: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
+    """Text with no character that a rule starts with can't be changed by any: it is not searched for each of them."""
+    fixed = text
     for wrong, right in rules:
-        text = F.replace(text, F.lit(wrong), F.lit(right))
-    return text
+        fixed = F.replace(fixed, F.lit(wrong), F.lit(right))
+    starts = sorted({wrong[0] for wrong, _ in rules})
+    return F.when(reduce(or_, (F.contains(text, F.lit(s)) for s in starts)), fixed).otherwise(text)
 
 
 def encoding_hits(text: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:

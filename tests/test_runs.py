@@ -181,3 +181,28 @@ def test_tables_of_sink_queries_can_be_dropped(spark):
     names = [n for _, n in catalogue._made]
     catalogue.drop_made_tables()
     assert not any(spark.catalog.tableExists(n) for n in names)
+
+
+def test_single_quoted_text_is_told_without_parsing(spark):
+    from sondeo.functions import jsonrepair
+
+    texts = ["{'a': 1}", " [ {\n'a': 'b'}]", "[[{'a': 1}]]", '{"a": "\'"}', '["{\'a\'"]', "[]", "{}", "", "'a'", "{ }", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    wrapped = F.coalesce(F.size(F.from_json(F.concat(F.lit("["), "t", F.lit("]")), "array<string>", jsonrepair.STRICT)) == 1, F.lit(False))
+    found = rows.select("t", jsonrepair.is_json(F.col("t")).alias("told"), wrapped.alias("parsed")).collect()
+    assert [r.told for r in found] == [r.parsed for r in found]
+    assert sum(r.told for r in found) == 5
+
+
+def test_text_without_marks_is_left_as_it_is(spark):
+    from sondeo.functions import encoding
+
+    texts = ["", "plain ó ñ", "Ã³", "aÂ", "Ã", "Â¿quÃ©?", "ÃÂ³", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for rules in (encoding.RULES, encoding.PLAIN_RULES):
+        want = []
+        for t in texts:
+            for wrong, right in rules:
+                t = t if t is None else t.replace(wrong, right)
+            want.append(t)
+        assert [r.x for r in rows.select(encoding.fix_encoding(F.col("t"), rules).alias("x")).collect()] == want
