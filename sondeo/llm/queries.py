@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import ann, chat_format, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality, suffix_dedup
+from . import ann, chat_format, divergence, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality, suffix_dedup
 from .common import materialize, table, tidied
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -100,8 +100,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def queries() -> dict:
-    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format)}
+    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format, op12_divergence)}
+
+
+#: SQL for a text with A-Z in lower case, and nothing else.
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -125,4 +133,25 @@ def oracle_sql() -> dict[str, str]:
                    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                    CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
             FROM out_ GROUP BY conv_id""",
+        "op12_divergence": rf"""
+            WITH d AS (
+                SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                       regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found FROM documents),
+            t AS (SELECT id, lang, source, unnest(found) AS term FROM d),
+            c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM t GROUP BY ALL),
+            k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+            v AS (SELECT lang, count(*) AS kept, sum(n) AS total FROM k GROUP BY lang),
+            g AS (SELECT DISTINCT lang, source FROM d),
+            full_ AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS n_lang FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+            tot AS (SELECT lang, source, sum(n) AS total FROM full_ GROUP BY ALL),
+            p AS (
+                SELECT f.lang, f.source, f.term, f.n, 1 + (1000000000::HUGEINT * (f.n + 5)) // (tot.total + 5 * v.kept) AS p,
+                       1 + (1000000000::HUGEINT * (f.n_lang + 5)) // (v.total + 5 * v.kept) AS q
+                FROM full_ f JOIN tot USING (lang, source) JOIN v ON v.lang = f.lang),
+            far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+            pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(far.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN far ON far.lang = x.lang AND far.source = x.source AND far.item = y.source),
+            terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q)
+            SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+            FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+            WHERE part = 'pair' OR rank <= 50""",
     }
