@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import ann, chat_format, divergence, exact_dedup, html_extract, licenses, mixing, near_dedup, packing, quality, suffix_dedup
+from . import ann, chat_format, divergence, exact_dedup, html_extract, lexical, licenses, mixing, near_dedup, packing, quality, suffix_dedup
 from .common import materialize, table, tidied
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -104,8 +104,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def queries() -> dict:
-    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format, op12_divergence)}
+    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format, op12_divergence, op13_lexical_search)}
 
 
 #: SQL for a text with A-Z in lower case, and nothing else.
@@ -154,4 +158,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
             FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
             WHERE part = 'pair' OR rank <= 50""",
+        "op13_lexical_search": rf"""
+            WITH w AS (SELECT regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS found, row_number() OVER () AS id, doc_id FROM documents),
+            q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+            whole AS (SELECT count(*) AS docs, CAST(sum(len(found)) AS BIGINT) AS terms FROM w WHERE len(found) > 0),
+            tf AS (SELECT id, doc_id, term, n, count(*) AS tf FROM (SELECT id, doc_id, len(found) AS n, unnest(found) AS term FROM w) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+            df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, docs),
+            posting AS (SELECT id, doc_id, term, df.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS score FROM tf JOIN df USING (term), whole),
+            found AS (SELECT item_id, id, doc_id, CAST(sum(score) AS BIGINT) AS score FROM q JOIN posting USING (term) GROUP BY ALL HAVING sum(score) > 0)
+            SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM found) WHERE rank <= 10""",
     }
