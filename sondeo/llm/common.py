@@ -39,14 +39,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own_dir[0]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes as tidied() says."""
     path = f"{shared_dir(spark)}/sondeo-{label}-{uuid.uuid4().hex}"
     if _written:
         _written[-1].append(path)
+    return path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def tidied(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import ann, chat_format, divergence, exact_dedup, html_extract, lexical, licenses, mixing, near_dedup, packing, quality, suffix_dedup
-from .common import materialize, table, tidied
+from . import ann, chat_format, divergence, exact_dedup, html_extract, id_files, lexical, licenses, mixing, near_dedup, packing, quality, suffix_dedup
+from .common import materialize, scratch_path, table, tidied
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 #: Scores from here on count as good.
@@ -100,6 +100,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ids")
+    id_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), path)
+    back = id_files.read_ids(spark, path, binary=True)
+    return materialize(back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")), "digests")
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -109,7 +116,7 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format, op12_divergence, op13_lexical_search)}
+    return {f.__name__: tidied(f) for f in (op1_near_dedup, op2_suffix_dedup, op3_html_extract, op4_licenses, op5_quality, op6_packing, op7_mixing, op8_nearest, op9_exact_dedup, op10_chat_format, op11_token_ids, op12_divergence, op13_lexical_search)}
 
 
 #: SQL for a text with A-Z in lower case, and nothing else.
