@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import attach_by_key, materialize, rank_within, small_batches
+from .tokens import encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -22,38 +23,6 @@ LARGE = 1 / 5
 GROUPS = 128
 #: Columns priced per group at most; what is feasible by then is used, and best fit takes the rest.
 PRICINGS = 24
-SPECIAL = "<|endoftext|>"
-
-
-def _encoder(vocabulary: str):
-    """Token ids of a text, as those of the tokenizers library for this vocabulary; made once per worker process.
-
-    Where the same vocabulary lies beside it as ranks, tiktoken gives the same ids several times as fast; texts that hold
-    the vocabulary's special string go through tokenizers, which makes one id of it.
-    """
-    import base64
-    import os
-
-    import tiktoken
-    import tokenizers
-    from tokenizers import Tokenizer
-
-    made = tokenizers.__dict__.setdefault("_encoders_by_vocabulary", {})  # functions travel by value: their own module's names don't outlive a task
-    if vocabulary in made:
-        return made[vocabulary]
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    slow = Tokenizer.from_file(vocabulary)
-    by_tokenizers = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-    ranks_file = vocabulary.removesuffix(".json") + ".tiktoken"
-    if not os.path.exists(ranks_file):
-        return made.setdefault(vocabulary, by_tokenizers)
-    from public_tokenizers import PATTERN
-
-    with open(ranks_file, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return made.setdefault(vocabulary, lambda text: by_tokenizers(text) if SPECIAL in text else np.array(fast.encode_ordinary(text), np.uint32))
 
 
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
@@ -69,11 +38,12 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     schema = T.StructType([docs.schema[id_col], T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(vocabulary)
+        encode = encoder(vocabulary)
         for pdf in batches:
             out = []
-            for key, text in zip(pdf[id_col], pdf[text_col], strict=True):
-                ids = np.append(encode(text) if isinstance(text, str) else np.zeros(0, np.uint32), np.uint32(END_ID)).astype("<u4")
+            found = encode(t if isinstance(t, str) else "" for t in pdf[text_col])
+            for key, text_ids in zip(pdf[id_col], found, strict=True):
+                ids = np.append(text_ids, np.uint32(END_ID)).astype("<u4")
                 edges = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 out += [(key, i, a, b - a, zlib.crc32(ids[a:b].tobytes())) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
             yield pd.DataFrame(out, columns=schema.names).astype({id_col: pdf[id_col].dtype})
