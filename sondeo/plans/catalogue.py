@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import atexit
 import datetime
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -342,6 +343,30 @@ def sample_exact_n(spark, sf_dir):
     return exact_sample(table(spark, sf_dir, "events"), "event_id", 100)
 
 
+@query(
+    """WITH t AS (SELECT count(*) AS n FROM events), w AS (SELECT unnest([0, 1, n // 3, n - 1, n, n + 7]) AS wanted, n FROM t)
+    SELECT DISTINCT CAST(wanted AS BIGINT) AS wanted, CAST(least(wanted, n) AS BIGINT) AS taken, CAST(least(wanted, n) AS BIGINT) AS ids, CAST(0 AS BIGINT) AS elsewhere FROM w"""
+)
+def sample_sizes(spark, sf_dir):
+    """Of events, samples of different sizes: each as large as wanted, without repetitions, all rows from the table."""
+    e = table(spark, sf_dir, "events")
+    n, parts = e.count(), []
+    for wanted in sorted({0, 1, n // 3, n - 1, n, n + 7}):
+        took = exact_sample(e, "event_id", wanted)
+        counts = took.agg(F.count(F.lit(1)).alias("taken"), F.countDistinct("event_id").alias("ids"))
+        parts.append(counts.select(F.lit(wanted).cast("long").alias("wanted"), "taken", "ids", F.lit(took.join(e, "event_id", "left_anti").count()).cast("long").alias("elsewhere")))
+    return functools.reduce(DataFrame.union, parts)
+
+
+@query("SELECT event_type AS value, CAST(ceil(count(*) / 2) AS BIGINT) AS n FROM events GROUP BY 1")
+def sample_of_repeated_keys(spark, sf_dir):
+    """Half of the rows of each type, by a key that is the same for all of them: which ones, rows and not keys decide."""
+    e = table(spark, sf_dir, "events").select("event_type")
+    counts = {r["value"]: r["n"] for r in profile.value_counts(e, "event_type").collect()}
+    parts = [exact_sample(e.where(F.col("event_type") == k), "event_type", -(-n // 2)) for k, n in sorted(counts.items())]
+    return profile.value_counts(functools.reduce(DataFrame.union, parts), "event_type")
+
+
 @query(
     f"""WITH s AS (SELECT event_id, event_type, ts, floor(value / 10) AS x FROM events), t AS (SELECT *, {_CLIP.format("x")} AS nps_score FROM s)
     SELECT date_trunc('second', ts) AS timestamp, 'C' || event_id AS customer_id, event_type || 'ó' AS channel, CAST(CAST(x AS INTEGER) AS VARCHAR) AS nps_recomendacion_score, 'Está bien ' || event_type AS nps_recomendacion_motivo,

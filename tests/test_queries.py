@@ -19,6 +19,47 @@ def test_sample_is_exact_distinct_and_stable(spark):
     assert exact_sample(events, "event_id", 10**6).count() == 1000
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("bits, few", [(14, 4096), (6, 2)])
+def test_sample_is_what_a_sort_by_hash_gives(spark, monkeypatch, bits, few):
+    from pyspark.sql import functions as F
+
+    from sondeo.operators import sampling
+
+    monkeypatch.setattr(sampling, "BITS", bits)
+    monkeypatch.setattr(sampling, "FEW", few)
+    rows = spark.range(500).select("id", F.when(F.col("id") % 50 != 0, F.col("id")).alias("key"), (F.col("id") % 3).alias("_copy"))
+    unique = rows.where("key is not null")
+    for n in (1, 63, 489):
+        want = {r.id for r in unique.orderBy(F.xxhash64("key", F.lit(42)), "key").limit(n).collect()}
+        took = sampling.exact_sample(unique.repartition(5), "key", n)
+        assert {r.id for r in took.collect()} == want
+        assert "SinglePartition" not in plan_of(took) and "TakeOrdered" not in plan_of(took)
+    hot = unique.withColumn("key", F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("key")))
+    equal = hot.select("key").withColumn("m", F.create_map(F.lit("a"), F.col("key")))
+    for n in (0, 100, 300, 489, 490, 491):
+        for df in (rows, hot, equal):
+            took = sampling.exact_sample(df, "key", n)
+            have = df.count()
+            assert took.count() == max(0, min(n, have)) and took.columns == df.columns
+            if df is not equal:
+                assert took.select("id").distinct().count() == took.count()
+        assert {r.id for r in sampling.exact_sample(hot, "key", n).collect()} == {r.id for r in sampling.exact_sample(hot.repartition(3, "_copy"), "key", n).collect()}
+    assert sampling.exact_sample(rows.where("false"), "key", 5).count() == 0
+
+
+def test_a_large_sample_is_a_filter(spark):
+    from sondeo.operators.sampling import exact_sample
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    took = exact_sample(rows.selectExpr("*", "concat(l_orderkey, '-', l_linenumber) as line"), "line", 40_000)
+    assert took.count() == 40_000
+    assert "Exchange" not in plan_of(took) and "Sort" not in plan_of(took) and "Limit" not in plan_of(took)
+
+
 def test_entry_imports_without_the_llm_folders(tmp_path):
     import shutil
     import subprocess
