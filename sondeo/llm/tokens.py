@@ -9,10 +9,14 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
-#: Bytes of words and ids that a worker remembers; beyond it, it starts anew. Characters that are encoded in one call.
-MEMO_BYTES, CALL_CHARS = 64 << 20, 1 << 20
+#: Bytes of parts and their ids that a worker remembers; beyond it, it starts anew. Characters, and parts, that are encoded in one call.
+MEMO_BYTES, CALL_CHARS, CALL_PARTS = 96 << 20, 1 << 20, 10_000
 #: A space between white space, or after it at the end: the split before the space may not be a split of the tokenizer.
 SPACED = re.compile(r"\s \s|\s $")
+#: Where nothing is unusual, the tokenizer too keeps runs of these letters apart from runs of all else, a space in front of either.
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+RUNS = re.compile(f" ?[{LETTER}]+| ?[^{LETTER} ]+")
+UNUSUAL = re.compile(r"['\x80-\xBF×÷\u0250-\U0010FFFF]|\s\s| $")
 
 Encoder = Callable[[Iterable[str]], list[np.ndarray]]
 
@@ -24,12 +28,20 @@ def split_at_spaces(spec: dict) -> bool:
     return usual and not spec.get("normalizer") and not spec.get("truncation") and model.get("type") == "BPE" and not model.get("dropout")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters by which byte-level tokenizers write bytes: themselves if they can be seen, else letters from U+0100 on in their order."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in seen)
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def encoder(vocabulary: str) -> Encoder:
     """A function from texts to their ids (uint32); made once per worker process and vocabulary.
 
-    All ids come from the tokenizers library. A text falls apart before its spaces, and a part that the worker has met
-    before is not encoded again. Texts with white space in which a space is not a split, with strings of added tokens, or
-    of tokenizers that don't split at spaces are encoded whole.
+    All ids come from the tokenizers library. A text falls apart where the tokenizer surely splits it: into runs of letters
+    and of other characters, or, if it has anything unusual, before its spaces. A part that the worker has met before is
+    not encoded again; runs of letters go to the library's model without being split once more. Texts with white space in
+    which a space is not a split, with strings of added tokens, or of tokenizers that don't split at spaces are encoded whole.
     """
     import tokenizers
 
@@ -40,7 +52,11 @@ def encoder(vocabulary: str) -> Encoder:
     own = tokenizers.Tokenizer.from_file(vocabulary)
     spec = json.loads(own.to_str())
     added = [t["content"] for t in spec["added_tokens"]]
-    in_parts = split_at_spaces(spec)
+    letters = byte_letters()
+    bare = tokenizers.Tokenizer(own.model)
+    bare.pre_tokenizer = tokenizers.pre_tokenizers.Split(letters[10], "isolated")
+    end_of_run = bare.token_to_id(letters[10])
+    in_parts = split_at_spaces(spec) and end_of_run is not None
     memo: dict[str, bytes] = {}
     size = 0
 
@@ -55,6 +71,21 @@ def encoder(vocabulary: str) -> Encoder:
                 yield np.array(e.ids, "<u4").tobytes()
             at = end
 
+    def of_letters(words: list[str]) -> Iterable[bytes]:
+        for a in range(0, len(words), CALL_PARTS):
+            text = "\n".join(words[a : a + CALL_PARTS]).encode().decode("latin-1").translate(letters)
+            ids = np.array(bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for end in [*np.flatnonzero(ids == end_of_run).tolist(), len(ids)]:
+                yield data[4 * at : 4 * end]
+                at = end + 1
+
+    def parts_of(text: str) -> list[str]:
+        if not UNUSUAL.search(text):
+            return RUNS.findall(text)
+        first, *others = text.split(" ")
+        return [r for p in (first, *(" " + p for p in others)) for r in ([p] if UNUSUAL.search(p) else RUNS.findall(p))]
+
     def encode(texts: Iterable[str]) -> list[np.ndarray]:
         nonlocal size
         texts = list(texts)
@@ -62,19 +93,19 @@ def encoder(vocabulary: str) -> Encoder:
         out: list = [None] * len(texts)
         for i, ids in zip(whole, in_calls([texts[i] for i in whole]), strict=True):
             out[i] = np.frombuffer(ids, "<u4")
-        parts = {i: t.split(" ") for i, t in enumerate(texts) if out[i] is None}
-        heads = [p[0] for p in parts.values()]
+        parts = {i: parts_of(t) for i, t in enumerate(texts) if out[i] is None}
         if size > MEMO_BYTES:
             memo.clear()
             size = 0
-        new = list(set().union(*(p[1:] for p in parts.values())).difference(memo))
-        for word, ids in zip(new, in_calls([" " + w for w in new]), strict=True):
-            memo[word] = ids
-            size += 100 + len(word) + len(ids)
-        for (i, p), head in zip(parts.items(), in_calls(heads), strict=True):
-            p[0] = head
-            p[1:] = map(memo.__getitem__, p[1:])
-            out[i] = np.frombuffer(b"".join(p), "<u4")
+        new = list(set().union(*parts.values()).difference(memo))
+        words = [p for p in new if p[-1].isalpha() and not UNUSUAL.search(p)]
+        others = list(set(new).difference(words))
+        for some, found in ((words, of_letters(words)), (others, in_calls(others))):
+            for part, ids in zip(some, found, strict=True):
+                memo[part] = ids
+                size += 100 + len(part) + len(ids)
+        for i, p in parts.items():
+            out[i] = np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4")
         return out
 
     return made.setdefault(vocabulary, encode)
