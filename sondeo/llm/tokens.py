@@ -10,13 +10,15 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 #: Bytes of parts and their ids that a worker remembers; beyond it, it starts anew. Characters, and parts, that are encoded in one call.
-MEMO_BYTES, CALL_CHARS, CALL_PARTS = 96 << 20, 1 << 20, 10_000
+MEMO_BYTES, CALL_CHARS, CALL_PARTS = 96 << 20, 1 << 20, 500
 #: A space between white space, or after it at the end: the split before the space may not be a split of the tokenizer.
 SPACED = re.compile(r"\s \s|\s $")
 #: Where nothing is unusual, the tokenizer too keeps runs of these letters apart from runs of all else, a space in front of either.
 LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 RUNS = re.compile(f" ?[{LETTER}]+| ?[^{LETTER} ]+")
 UNUSUAL = re.compile(r"['\x80-\xBF×÷\u0250-\U0010FFFF]|\s\s| $")
+#: What makes an ASCII text look unusual, white space other than spaces and line feeds whether doubled or not.
+ASCII_UNUSUAL = ("'", "  ", "\n\n", " \n", "\n ", *"\t\r\v\f\x1c\x1d\x1e\x1f")
 
 Encoder = Callable[[Iterable[str]], list[np.ndarray]]
 
@@ -35,6 +37,13 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def is_unusual(text: str) -> bool:
+    """Whether a text may hold what UNUSUAL finds; plain searches tell of most texts that they don't."""
+    if text.isascii() and not text.endswith(" ") and not any(x in text for x in ASCII_UNUSUAL):
+        return False
+    return UNUSUAL.search(text) is not None
+
+
 def encoder(vocabulary: str) -> Encoder:
     """A function from texts to their ids (uint32); made once per worker process and vocabulary.
 
@@ -80,8 +89,8 @@ def encoder(vocabulary: str) -> Encoder:
                 yield data[4 * at : 4 * end]
                 at = end + 1
 
-    def parts_of(text: str) -> list[str]:
-        if not UNUSUAL.search(text):
+    def parts_of(text: str, unusual: bool) -> list[str]:
+        if not unusual:
             return RUNS.findall(text)
         first, *others = text.split(" ")
         return [r for p in (first, *(" " + p for p in others)) for r in ([p] if UNUSUAL.search(p) else RUNS.findall(p))]
@@ -89,23 +98,31 @@ def encoder(vocabulary: str) -> Encoder:
     def encode(texts: Iterable[str]) -> list[np.ndarray]:
         nonlocal size
         texts = list(texts)
-        whole = [i for i, t in enumerate(texts) if not in_parts or SPACED.search(t) or any(a in t for a in added)]
+        unusual = [is_unusual(t) for t in texts]
+        whole = [i for i, t in enumerate(texts) if not in_parts or unusual[i] and SPACED.search(t) or any(a in t for a in added)]
         out: list = [None] * len(texts)
         for i, ids in zip(whole, in_calls([texts[i] for i in whole]), strict=True):
             out[i] = np.frombuffer(ids, "<u4")
-        parts = {i: parts_of(t) for i, t in enumerate(texts) if out[i] is None}
         if size > MEMO_BYTES:
             memo.clear()
             size = 0
-        new = list(set().union(*parts.values()).difference(memo))
+        known, gaps, new = {}, {}, set()
+        for i, text in enumerate(texts):
+            if out[i] is None:
+                parts = parts_of(text, unusual[i])
+                known[i] = found = list(map(memo.get, parts))
+                gaps[i] = [(k, parts[k]) for k, ids in enumerate(found) if ids is None]
+                new.update(part for _, part in gaps[i])
         words = [p for p in new if p[-1].isalpha() and not UNUSUAL.search(p)]
-        others = list(set(new).difference(words))
-        for some, found in ((words, of_letters(words)), (others, in_calls(others))):
-            for part, ids in zip(some, found, strict=True):
+        others = list(new.difference(words))
+        for some, ids_of_some in ((words, of_letters(words)), (others, in_calls(others))):
+            for part, ids in zip(some, ids_of_some, strict=True):
                 memo[part] = ids
                 size += 100 + len(part) + len(ids)
-        for i, p in parts.items():
-            out[i] = np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4")
+        for i, found in known.items():
+            for k, part in gaps[i]:
+                found[k] = memo[part]
+            out[i] = np.frombuffer(b"".join(found), "<u4")
         return out
 
     return made.setdefault(vocabulary, encode)
