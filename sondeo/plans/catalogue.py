@@ -19,7 +19,8 @@ from ..functions.encoding import PLAIN_RULES, encoding_hits, fix_encoding
 from ..operators import aggregate, profile
 from ..operators import columns as c
 from ..operators.sampling import exact_sample
-from ..sources.sinks import Warehouse
+from ..sources.runfolders import RunFolders
+from ..sources.sinks import Warehouse, checksum
 from . import cleaning, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -287,7 +288,7 @@ def _through(spark: SparkSession, df: DataFrame, name: str, write: Callable[[War
     return spark.table(name)
 
 
-#: Tables that sink queries wrote. They stay to the end of the process, as a result is read after its query returns.
+#: Tables, and folders (by their path), that sink queries wrote. They stay to the end of the process, as a result is read after its query returns.
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -296,7 +297,12 @@ def drop_made_tables() -> None:
     """Drops them, where their session still runs. Whoever runs such queries for long may call it between."""
     while _made:
         spark, name = _made.pop()
-        if spark.sparkContext._jsc is not None:
+        if spark.sparkContext._jsc is None:
+            continue
+        if "/" in name:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        else:
             Warehouse(spark).drop(name)
 
 
@@ -442,6 +448,27 @@ def placeholders_to_null(spark, sf_dir):
     return kept.agg(F.lit(runs.BM_TABLE).alias("name"), F.count(F.lit(1)).alias("n"), F.count("channel").alias("named")) if kept.columns == ["channel"] else kept
 
 
+@query(
+    """SELECT 'banco_movil_clean' AS name, step, CAST(k * (SELECT count(*) FROM events) AS BIGINT) AS n, true AS sums_agree FROM (VALUES ('first', 1), ('again', 1), ('second', 2)) s(step, k)
+    UNION ALL SELECT 'banco_virtual_clean', step, CASE WHEN step = 'second' THEN (SELECT count(*) FROM pages WHERE page_id % 2 = 0) ELSE (SELECT count(*) FROM pages) END, true FROM (VALUES ('first'), ('again'), ('second')) s(step)"""
+)
+def load_once(spark, sf_dir):
+    """Two runs, the first of them started twice: what each leaves in both tables, and whether checksums of what is read are those of what was written."""
+    root = f"{spark.conf.get('spark.sql.warehouse.dir')}/sondeo_runs_{uuid.uuid4().hex}"
+    _made.append((spark, root))
+    target, out = RunFolders(spark, root), []
+    bm = table(spark, sf_dir, "events").select(F.col("event_type").alias("channel"), F.col("ts").alias("timestamp"), F.lit("BM").alias("file_type"))
+    bv = table(spark, sf_dir, "pages").select(F.col("url").alias("source_url"), "page_id")
+    for step, run_id, pages in (("first", "august", bv), ("again", "august", bv.limit(1)), ("second", "september", bv.where("page_id % 2 = 0"))):
+        counts = runs.load_once(bm, pages.drop("page_id"), target, run_id)
+        written = {name: (rows, total) for name, rows, total in target.runs()[run_id]}
+        for name, n in counts.items():
+            newest = spark.read.parquet(target.folders(name)[-1])
+            found = newest.agg(F.count(F.lit(1)), checksum(newest)).head()
+            out.append((name, step, n, tuple(found) == written[name]))
+    return spark.createDataFrame(out, "name string, step string, n long, sums_agree boolean")
+
+
 @query("SELECT event_type AS channel, count(*) AS n FROM events GROUP BY 1")
 def sql_to_frame(spark, sf_dir):
     """A SQL query through a target."""

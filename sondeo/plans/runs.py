@@ -18,6 +18,7 @@ from ..operators import aggregate, profile
 from ..operators import columns as c
 from ..operators.sampling import SIZE, cleaned_name, exact_sample, sample_name
 from ..sources import sinks
+from ..sources.runfolders import RunFolders
 from .cleaning import BM_DATES, BV_DATE, Counters, clean_file, kind_of
 
 log = logging.getLogger("sondeo")
@@ -170,6 +171,16 @@ def load(bm: DataFrame, bv: DataFrame, target: sinks.Target) -> dict[str, int]:
     return {name: target.read(name).count() for name in (BM_TABLE, BV_TABLE)}
 
 
+def load_once(bm: DataFrame, bv: DataFrame, target: sinks.Jdbc | RunFolders, run_id: str) -> dict[str, int]:
+    """load(), all or nothing and at most once a run_id: BM is added to its table and BV replaces its own in one step.
+
+    A load that was stopped has changed nothing and may be run again with its run_id; one that is done is not repeated.
+    Returns the rows of both tables as they are then.
+    """
+    target.publish(run_id, [sinks.Write(BM_TABLE, for_load(bm, "BM")), sinks.Write(BV_TABLE, for_load(bv, "BV"), replace=True)])
+    return {name: target.read(name).count() for name in (BM_TABLE, BV_TABLE)}
+
+
 @dataclass
 class Summary:
     """What a load did. Rows are those that were written, not those of the tables."""
