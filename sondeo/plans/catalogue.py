@@ -19,6 +19,7 @@ from ..functions.encoding import PLAIN_RULES, encoding_hits, fix_encoding
 from ..operators import aggregate, profile
 from ..operators import columns as c
 from ..operators.sampling import exact_sample
+from ..sources import workbooks
 from ..sources.runfolders import RunFolders
 from ..sources.sinks import Warehouse, checksum
 from . import cleaning, runs
@@ -448,6 +449,17 @@ def placeholders_to_null(spark, sf_dir):
     return kept.agg(F.lit(runs.BM_TABLE).alias("name"), F.count(F.lit(1)).alias("n"), F.count("channel").alias("named")) if kept.columns == ["channel"] else kept
 
 
+@query("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(event_id % 11 AS VARCHAR) AS score, CASE WHEN event_id % 3 = 0 THEN NULL ELSE '<' || props || '>' END AS answers FROM events")
+def workbook_round_trip(spark, sf_dir):
+    """Written as a folder of workbooks, one a task, and read back as text."""
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/sondeo_books_{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    workbooks.register(spark)
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("event_id") % 11).alias("score"), F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("<"), "props", F.lit(">"))).alias("answers"))
+    rows.write.format(workbooks.NAME).option("each", "task").mode("append").save(path)
+    return spark.read.format(workbooks.NAME).load(path)
+
+
 @query(
     """SELECT 'banco_movil_clean' AS name, step, CAST(k * (SELECT count(*) FROM events) AS BIGINT) AS n, true AS sums_agree FROM (VALUES ('first', 1), ('again', 1), ('second', 2)) s(step, k)
     UNION ALL SELECT 'banco_virtual_clean', step, CASE WHEN step = 'second' THEN (SELECT count(*) FROM pages WHERE page_id % 2 = 0) ELSE (SELECT count(*) FROM pages) END, true FROM (VALUES ('first'), ('again'), ('second')) s(step)"""
