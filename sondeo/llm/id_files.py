@@ -33,7 +33,7 @@ NAME, MANIFEST, MAGIC, VERSION = "token_ids", "manifest.json", b"TOKENIDS", 1
 TRAILER = "<8sIIQQQQII"
 TRAILER_BYTES = struct.calcsize(TRAILER)
 #: Token ids after which a task begins another file; that are coded, or read, at once.
-FILE_IDS, AT_ONCE = 1 << 27, 1 << 20
+FILE_IDS, AT_ONCE = 1 << 27, 1 << 18
 READ_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids array<bigint>"
 
 
