@@ -2,11 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from ..operators.columns import col as column
 
+_TIMES = (" H:mm:ss", " H:mm", "")
+#: For each separator, the formats in which the month comes first, and those in which the day does; of the two, `usual` is taken where a column doesn't tell.
+ORDERS = {sep: {"month": tuple(f"M{sep}d{sep}yyyy{t}" for t in _TIMES), "day": tuple(f"d{sep}M{sep}yyyy{t}" for t in _TIMES), "usual": usual} for sep, usual in (("/", "month"), ("-", "day"))}
 #: Tried in this order after ISO 8601.
-FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "d-M-yyyy H:mm:ss", "d-M-yyyy")
+FORMATS = tuple(f for order in ORDERS.values() for f in order[order["usual"]])
+
+
+def _reads(text: Column, formats: tuple[str, ...]) -> Column:
+    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats)).isNotNull()
+
+
+def order_counts(text: Column, name: str) -> list[Column]:
+    """Aggregates: how many texts of a column each order of day and month reads, by separator."""
+    return [F.count(F.when(F.contains(text, F.lit(sep)) & _reads(text, order[first]), 1)).alias(f"{name}{sep}{first}") for sep, order in ORDERS.items() for first in ("month", "day")]
+
+
+def formats_from(counts: Mapping[str, int], name: str) -> tuple[str, ...]:
+    """The formats of a column by its order_counts(): for each separator those of the order that reads more texts, of the usual one where both read as many."""
+    out: tuple[str, ...] = ()
+    for sep, order in ORDERS.items():
+        other = "day" if order["usual"] == "month" else "month"
+        more = counts[f"{name}{sep}{other}"] > counts[f"{name}{sep}{order['usual']}"]
+        out += order[other if more else order["usual"]]
+    return out
+
+
+def column_formats(df: DataFrame, names: Iterable[str]) -> dict[str, tuple[str, ...]]:
+    """For each text column the formats that read it, all of it in one order of day and month. One aggregate for all columns; none if no column is text."""
+    own = [n for n in names if n in df.columns and isinstance(df.schema[n].dataType, StringType)]
+    if not own:
+        return {}
+    counts = df.agg(*(c for i, n in enumerate(own) for c in order_counts(column(n), f"{i}"))).head().asDict()
+    return {n: formats_from(counts, f"{i}") for i, n in enumerate(own)}
 
 
 def to_wall_clock(value: Column, formats: tuple[str, ...] = FORMATS) -> Column:

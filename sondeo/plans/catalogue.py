@@ -216,6 +216,19 @@ def date_coerce(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.to_wall_clock(raw).alias("at"))
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS day_first, CASE WHEN o_orderkey % 9 = 0 AND day(o_orderdate) > 12 THEN NULL
+    WHEN o_orderkey % 9 = 0 THEN make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate), 0, 0, 0) ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS month_first FROM orders"""
+)
+def date_orders(spark, sf_dir):
+    """One column with the day first, one with the month first, each with some other texts: those of the second column are dates in the other order, read as the column is or not at all."""
+    k, d = F.col("o_orderkey") % 9, F.col("o_orderdate")
+    day, month = F.date_format(d, "d/M/yyyy"), F.date_format(d, "M/d/yyyy")
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k == 0, "nope").otherwise(day).alias("day_first"), F.when(k == 0, day).otherwise(month).alias("month_first"))
+    found = dates.column_formats(raw, ["day_first", "month_first"])
+    return raw.select("o_orderkey", *(dates.to_wall_clock(F.col(n), f).alias(n) for n, f in found.items()))
+
+
 @query("SELECT event_id, date_trunc('second', ts) AS at FROM events")
 def tz_strip(spark, sf_dir):
     raw = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00"))
@@ -441,6 +454,18 @@ def answers_of_other_shapes(spark, sf_dir):
     return e.select("event_id", answers.answer(answers.items(item(F.lit("1"))), "k").alias("none"), answers.answer(answers.items(listed), "k").alias("last"))
 
 
+@query(
+    """SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'True' WHEN 1 THEN 'true' WHEN 2 THEN '100.0' WHEN 3 THEN '1e2' WHEN 4 THEN 'None' WHEN 5 THEN 'null' WHEN 6 THEN (1000 + event_id) || '.5' WHEN 7 THEN CAST(10000000 + event_id AS VARCHAR) || '.25'
+    WHEN 8 THEN '1e+20' ELSE CAST(event_id AS VARCHAR) END AS value FROM events"""
+)
+def answer_types(spark, sf_dir):
+    """Answers of different JSON types that read alike."""
+    e, k = F.col("event_id"), F.col("event_id") % 10
+    text = F.when(k == 0, "true").when(k == 1, '"true"').when(k == 2, "1e2").when(k == 3, '"1e2"').when(k == 4, "null").when(k == 5, '"null"').when(k == 6, F.concat(1000 + e, F.lit(".50"))).when(k == 7, F.concat(10000000 + e, F.lit(".25"))).when(k == 8, "1e20").otherwise(e.cast("string"))
+    item = F.concat(F.lit('[{"subQuestionId": "k", "answerValue": '), text, F.lit("}]"))
+    return table(spark, sf_dir, "events").select("event_id", answers.answer(answers.items(item), "k").alias("value"))
+
+
 @query("SELECT 'banco_movil_clean' AS name, count(*) AS n, count(CASE WHEN event_id % 2 = 0 THEN 1 END) AS named FROM events")
 def placeholders_to_null(spark, sf_dir):
     """What a load keeps: placeholders of missing values are nulls, rows all of nulls go."""

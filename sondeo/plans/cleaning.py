@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,16 +44,27 @@ def _scored(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("nps_category", scores.categorize(F.col("nps_score")))
 
 
-def clean_bm(df: DataFrame, run_time: datetime.datetime, questions: list[str] | None = None) -> DataFrame:
-    """Packed answers: text repaired, dates read, answers expanded, score and category, metadata.
+Formats = dict[str, tuple[str, ...]]
+
+
+def _dated(df: DataFrame, names: Iterable[str], formats: Formats | None, to: Callable[[str], str] = lambda n: n) -> DataFrame:
+    """Dates of the columns that are there, each column read in one order of day and month: in the given formats, or in those that dates.column_formats() finds."""
+    own = [n for n in names if n in df.columns]
+    found = dates.column_formats(df, own) if formats is None else formats
+    return df.withColumns({to(n): dates.to_wall_clock(c.col(n), found.get(n, dates.FORMATS)) for n in own})
+
+
+def clean_bm(df: DataFrame, run_time: datetime.datetime, questions: list[str] | None = None, formats: Formats | None = None) -> DataFrame:
+    """Packed answers: text repaired, answers expanded, dates read, score and category, metadata.
 
     The score is that of the answers if any row answered that question, else the raw column's, for all rows alike.
-    One projection; only finding the questions (skipped if they are given) is a job of its own.
+    One projection. Finding the questions and the formats of dates, unless they are given, takes two small jobs over rows
+    that are parsed and written down once; see answers.expand().
     """
     df = c.map_columns(df, [n for n in c.text_columns(df) if n != "answers"], fix_encoding)
-    df = c.map_columns(df, [n for n in BM_DATES if n in df.columns], dates.to_wall_clock)
     if "answers" in df.columns:
         df = answers.expand(df, "answers", questions)
+    df = _dated(df, BM_DATES, formats)
     scored = next((n for n in ("nps_recomendacion_score", "nps_score_original") if n in df.columns), None)
     if scored:
         df = _scored(df, scored)
@@ -60,11 +72,11 @@ def clean_bm(df: DataFrame, run_time: datetime.datetime, questions: list[str] |
     return df.withColumns({"cleaned_date": F.lit(run_time).cast("timestamp_ntz"), "file_type": F.lit("BM"), "month_year": month})
 
 
-def clean_bv(df: DataFrame, run_time: datetime.datetime) -> DataFrame:
-    """One column per question. The score is read before free text is cleaned, so its column may be both."""
+def clean_bv(df: DataFrame, run_time: datetime.datetime, formats: Formats | None = None) -> DataFrame:
+    """One column per question. The score is read before free text is cleaned, so its column may be both. Unless formats are given, one aggregate finds those of a date column that is text."""
     df = c.map_columns(df, c.text_columns(df), fix_encoding)
     if BV_DATE in df.columns:
-        df = df.withColumn("date_submitted", dates.to_wall_clock(c.col(BV_DATE)))
+        df = _dated(df, [BV_DATE], formats, lambda _: "date_submitted")
         df = df.withColumn("month_year", dates.month_year(F.col("date_submitted")))
     scored = c.first_with_all(df.columns, SCORE_PARTS)
     if scored:

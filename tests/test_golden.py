@@ -56,6 +56,16 @@ def test_json_repair(spark):
         ('[{"subQuestionId":"a","answerValue":null}]', {"a": "None"}),
         ('[{"subQuestionId":"a","answerValue":true}]', {"a": "True"}),
         ('[{"answerValue":1}]', {"": "1"}),
+        ('[{"subQuestionId":"a","answerValue":"true"},{"subQuestionId":"b","answerValue":false}]', {"a": "true", "b": "False"}),
+        ('[{"subQuestionId":"a","answerValue":1e2},{"subQuestionId":"b","answerValue":"1e2"}]', {"a": "100.0", "b": "1e2"}),
+        ('[{"subQuestionId":"a","answerValue":"null"},{"subQuestionId":"b","answerValue":"None"}]', {"a": "null", "b": "None"}),
+        ('[{"subQuestionId":1,"answerValue":9.10},{"subQuestionId":null,"answerValue":-0}]', {"1": "9.1", "None": "0"}),
+        ('[{"subQuestionId":true,"answerValue":12345678.25},{"subQuestionId":"","answerValue":1e16}]', {"True": "12345678.25", "": "1e+16"}),
+        ('[{"subQuestionId":"a","answerValue":1,"answerValue":2}]', {"a": "2"}),
+        ('[{"subQuestionId":"a","answerValue":{"x":1,"x":2}},{"subQuestionId":"b","answerValue":[1, true]}]', {"a": '{"x":1,"x":2}', "b": "[1,true]"}),
+        ('[{"subQuestionId":"a","answerValue":99999999999999999999999999999999999999999}]', {"a": "9" * 41}),
+        ('[{"subQuestionId":"a","answerValue":-1.5E-7},{"subQuestionId":"b","answerValue":0.00001}]', {"a": "-1.5e-07", "b": "1e-05"}),
+        ("[{'subQuestionId': 'a', 'answerValue': true}]", {"a": "True"}),
     ],
 )
 def test_answer_items(spark, raw, want):
@@ -63,6 +73,19 @@ def test_answer_items(spark, raw, want):
     assert {x["id"]: x["value"] for x in found} == want
 
 
+def test_floats_are_written_as_shortest_decimals(spark):
+    import random
+
+    rng = random.Random(1)
+    numbers = [0.0, -0.0, 1.0, 9.1, 100.0, 1e7, 12345678.25, 1e15, 1e16, 123456789012345.6, 0.001, 0.0001, 0.00012, 1e-5, -2.5e-9, 1e22, 1e23, 1.7e308, 5e-324, float("inf"), -float("inf")]
+    numbers += [round(rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 20), rng.randint(0, 12)) for _ in range(300)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], "i int, x double")
+    got = [r.t for r in df.select("i", answers.float_text(F.col("x").cast("string")).alias("t")).orderBy("i").collect()]
+    assert [float(t) for t in got] == numbers
+    short = [(t, repr(x)) for t, x in zip(got, numbers, strict=True) if len(repr(x).strip("-").partition("e")[0]) <= 12]
+    assert len(short) > 100 and {a for a, b in short if a != b} <= {"4.9e-324", "9.999999999999999e+22"}  # Java does not always find the shortest digits
+
+
 def test_expand_names_columns_and_refuses_clashes(spark):
     df = spark.createDataFrame([(1, '[{"subQuestionId":"z","answerValue":1},{"subQuestionId":"csat_rate_satisfied","answerValue":4}]')], "id int, answers string")
     out = answers.expand(df)
@@ -87,3 +110,17 @@ def test_dates(spark):
     at = lambda x: F.date_format(dates.to_wall_clock(x), "yyyy-MM-dd HH:mm")
     cases = [("2025-08-01T10:00:00-05:00", "2025-08-01 10:00", "2025-08"), ("2025-08-01 10:00:00", "2025-08-01 10:00", "2025-08"), ("8/1/2025 10:00", "2025-08-01 10:00", "2025-08"), ("nope", None, None), (None, None, None)]
     assert values(spark, [c[0] for c in cases], at, lambda x: dates.month_year(dates.to_wall_clock(x))) == [c[1:] for c in cases]
+
+
+def test_a_column_is_read_in_one_order(spark):
+    rows = [("13/1/2025", "8/1/2025 10:00", "1-13-2025", "2025-08-01"), ("8/1/2025", "1/13/2025 9:05:07", "2-3-2025", "5/6/2025"), ("5-6-2025", "13/1/2025", "14-2-2025 1:02", None), (None, "x", "3-25-2025", "")]
+    df = spark.createDataFrame(rows, "a string, `b c` string, d string, e string").withColumn("n", F.lit(1))
+    found = dates.column_formats(df, ["a", "b c", "d", "e", "n", "no such column"])
+    assert set(found) == {"a", "b c", "d", "e"}
+    at = lambda x, f: F.date_format(dates.to_wall_clock(x, f), "MM-dd HH:mm")
+    got = df.select(*(at(F.col(f"`{n}`"), found[n]).alias(n) for n in found)).collect()
+    assert [r.a for r in got] == ["01-13 00:00", "01-08 00:00", "06-05 00:00", None]
+    assert [r["b c"] for r in got] == ["08-01 10:00", "01-13 09:05", None, None]
+    assert [r.d for r in got] == ["01-13 00:00", "02-03 00:00", None, "03-25 00:00"]
+    assert [r.e for r in got] == ["08-01 00:00", "05-06 00:00", None, None]
+    assert dates.column_formats(df.select("n"), ["n"]) == {} and dates.column_formats(df.where("false"), ["a"])["a"] == dates.FORMATS
