@@ -17,13 +17,20 @@ ORDERS = {sep: {"month": tuple(f"M{sep}d{sep}yyyy{t}" for t in _TIMES), "day": t
 FORMATS = tuple(f for order in ORDERS.values() for f in order[order["usual"]])
 
 
+def _read(text: Column, pattern: str) -> Column:
+    """A timestamp, or null. Only texts with as many colons as the pattern, and with its separator, are tried, as a text that fails costs more than one that is read."""
+    separator = next((ch for ch in pattern if not ch.isalpha()), "")
+    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
+    return F.when(F.contains(text, F.lit(separator)) & (colons == pattern.count(":")), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def _reads(text: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats)).isNotNull()
+    return F.coalesce(*(_read(text, f) for f in formats)).isNotNull()
 
 
 def order_counts(text: Column, name: str) -> list[Column]:
     """Aggregates: how many texts of a column each order of day and month reads, by separator."""
-    return [F.count(F.when(F.contains(text, F.lit(sep)) & _reads(text, order[first]), 1)).alias(f"{name}{sep}{first}") for sep, order in ORDERS.items() for first in ("month", "day")]
+    return [F.count(F.when(F.rlike(text, F.lit(rf"^\d{{1,2}}{sep}")) & _reads(text, order[first]), 1)).alias(f"{name}{sep}{first}") for sep, order in ORDERS.items() for first in ("month", "day")]
 
 
 def formats_from(counts: Mapping[str, int], name: str) -> tuple[str, ...]:
@@ -48,7 +55,7 @@ def column_formats(df: DataFrame, names: Iterable[str]) -> dict[str, tuple[str,
 def to_wall_clock(value: Column, formats: tuple[str, ...] = FORMATS) -> Column:
     """timestamp_ntz, or null for what is no date; an offset is dropped and the clock time stays."""
     text = value.cast("string")
-    return F.coalesce(text.try_cast("timestamp_ntz"), *(F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats))
+    return F.coalesce(text.try_cast("timestamp_ntz"), *(_read(text, f).cast("timestamp_ntz") for f in formats))
 
 
 def month_year(timestamp: Column) -> Column:
