@@ -87,14 +87,19 @@ def questions(df: DataFrame, listed: Column) -> list[str]:
     found = {r[0] for r in df.select(F.explode(F.transform(listed, lambda x: x["id"]))).distinct().limit(MOST_QUESTIONS + 1).collect()}
     if len(found) > MOST_QUESTIONS:
         raise ValueError(f"more than {MOST_QUESTIONS} question ids: a table can't have a column for each")
+    return in_order(found)
+
+
+def in_order(found: set[str]) -> list[str]:
     return [q for q in COLUMNS if q in found] + sorted(found - set(COLUMNS))
 
 
-def expand(df: DataFrame, text_col: str = "answers", ids: list[str] | None = None) -> DataFrame:
+def expand(df: DataFrame, text_col: str = "answers", ids: list[str] | None = None, parsed: str | None = None) -> DataFrame:
     """df with a column per question. A column that is there already would be hidden by its namesake: that is an error.
 
     Without ids the rows are written down with their parsed answers (scratch.written_once()): the job that finds the
-    questions and the projection both read these, so each text is repaired and parsed once.
+    questions and the projection both read these, so each text is repaired and parsed once. parsed: a column that has
+    the items already, if ids are given.
     """
     name = "_items"
     while name in df.columns:
@@ -103,7 +108,7 @@ def expand(df: DataFrame, text_col: str = "answers", ids: list[str] | None = Non
         listed = written_once(spread(df).withColumn(name, items(col(text_col))), "answers")
         ids = questions(listed, F.col(name))
     else:
-        listed = df.withColumn(name, items(col(text_col)))
+        listed = df.withColumn(name, items(col(text_col)) if parsed is None else col(parsed))
     names = {column_of(q): answer(F.col(name), q) for q in ids}
     if clash := sorted(set(names) & set(df.columns)):
         raise ValueError(f"answers would overwrite columns: {clash}")

@@ -54,29 +54,33 @@ def _dated(df: DataFrame, names: Iterable[str], formats: Formats | None, to: Cal
     return df.withColumns({to(n): dates.to_wall_clock(c.col(n), found.get(n, dates.FORMATS)) for n in own})
 
 
-def clean_bm(df: DataFrame, run_time: datetime.datetime, questions: list[str] | None = None, formats: Formats | None = None) -> DataFrame:
+def clean_bm(df: DataFrame, run_time: datetime.datetime, questions: list[str] | None = None, formats: Formats | None = None, parsed: str | None = None, answered: Column | None = None) -> DataFrame:
     """Packed answers: text repaired, answers expanded, dates read, score and category, metadata.
 
     The score is that of the answers if any row answered that question, else the raw column's, for all rows alike.
     One projection. Finding the questions and the formats of dates, unless they are given, takes two small jobs over rows
-    that are parsed and written down once; see answers.expand().
+    that are parsed and written down once; see answers.expand(), and for parsed. answered: where rows of several files are
+    one table, whether in a row's file any row answered the question.
     """
     df = c.map_columns(df, [n for n in c.text_columns(df) if n != "answers"], fix_encoding)
     if "answers" in df.columns:
-        df = answers.expand(df, "answers", questions)
+        df = answers.expand(df, "answers", questions, parsed)
     df = _dated(df, BM_DATES, formats)
     scored = next((n for n in ("nps_recomendacion_score", "nps_score_original") if n in df.columns), None)
-    if scored:
+    if answered is not None and {"nps_recomendacion_score", "nps_score_original"} <= set(df.columns):
+        df = df.withColumn("nps_score", F.when(answered, scores.score(F.col("nps_recomendacion_score"))).otherwise(scores.score(F.col("nps_score_original"))))
+        df = df.withColumn("nps_category", scores.categorize(F.col("nps_score")))
+    elif scored:
         df = _scored(df, scored)
     month = dates.month_year(F.col("timestamp")) if "timestamp" in df.columns else F.lit(DEFAULT_MONTH)
     return df.withColumns({"cleaned_date": F.lit(run_time).cast("timestamp_ntz"), "file_type": F.lit("BM"), "month_year": month})
 
 
-def clean_bv(df: DataFrame, run_time: datetime.datetime, formats: Formats | None = None) -> DataFrame:
-    """One column per question. The score is read before free text is cleaned, so its column may be both. Unless formats are given, one aggregate finds those of a date column that is text."""
+def clean_bv(df: DataFrame, run_time: datetime.datetime, formats: Formats | None = None, submitted: Column | None = None) -> DataFrame:
+    """One column per question. The score is read before free text is cleaned, so its column may be both. Unless formats are given, or the dates themselves as submitted, one aggregate finds those of a date column that is text."""
     df = c.map_columns(df, c.text_columns(df), fix_encoding)
     if BV_DATE in df.columns:
-        df = _dated(df, [BV_DATE], formats, lambda _: "date_submitted")
+        df = _dated(df, [BV_DATE], formats, lambda _: "date_submitted") if submitted is None else df.withColumn("date_submitted", submitted)
         df = df.withColumn("month_year", dates.month_year(F.col("date_submitted")))
     scored = c.first_with_all(df.columns, SCORE_PARTS)
     if scored:

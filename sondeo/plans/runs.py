@@ -19,6 +19,7 @@ from ..operators import columns as c
 from ..operators.sampling import SIZE, cleaned_name, exact_sample, sample_name
 from ..sources import sinks
 from ..sources.runfolders import RunFolders
+from ..sources.scratch import spread
 from .cleaning import BM_DATES, BV_DATE, Counters, clean_file, kind_of
 
 log = logging.getLogger("sondeo")
@@ -97,7 +98,7 @@ def clean_files(spark: SparkSession, paths: list[str] | str, out_dir: str, run_t
     counters, written = Counters(), []
     for path in list_files(spark, paths) if isinstance(paths, str) else paths:
         try:
-            raw = read(spark, path) if read else spark.read.parquet(path)
+            raw = spread(read(spark, path) if read else spark.read.parquet(path))  # below what is observed: above it, an empty shuffle would take the metrics away
             metrics = Observation()
             cleaned = clean_file(raw.observe(metrics, *metrics_of(raw)), PurePosixPath(path).name, run_time)
             target = f"{out_dir}/{cleaned_name(PurePosixPath(path).stem)}"
