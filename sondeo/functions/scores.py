@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the categories.
-DETRACTOR, NEUTRAL, PROMOTER, UNKNOWN = "Detractor", "Neutral", "Promotor", "Unknown"
+DETRACTOR, NEUTRAL, PROMOTER, UNKNOWN = CATEGORIES = ("Detractor", "Neutral", "Promotor", "Unknown")
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 

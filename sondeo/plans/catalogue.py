@@ -271,6 +271,20 @@ def value_counts(spark, sf_dir):
     return profile.value_counts(table(spark, sf_dir, "orders"), "o_orderpriority")
 
 
+@query(
+    """SELECT 'rows' AS item, '' AS value, CAST(count(*) AS DOUBLE) AS n FROM lineitem UNION ALL SELECT 'mean', 'l_quantity', round(avg(l_quantity), 6) FROM lineitem UNION ALL SELECT 'least', 'l_quantity', min(l_quantity) FROM lineitem UNION ALL SELECT 'greatest', 'l_quantity', max(l_quantity) FROM lineitem
+    UNION ALL SELECT 'l_returnflag', l_returnflag, n FROM (SELECT l_returnflag, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, 1 LIMIT 2)
+    UNION ALL SELECT 'part', part, n FROM (SELECT CAST(l_partkey AS VARCHAR) AS part, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, 1 LIMIT 2)"""
+)
+def profile_in_one_pass(spark, sf_dir):
+    """Statistics, and the most frequent values of a column with few and of one with very many about equally frequent ones."""
+    rows = table(spark, sf_dir, "lineitem").select("l_quantity", "l_returnflag", F.col("l_partkey").cast("string").alias("part"))
+    found = profile.one_pass(rows, ["l_quantity"], ["l_returnflag", "part"], k=2)
+    stats = found["stats"]["l_quantity"]
+    out = [("rows", "", float(found["rows"])), *((k, "l_quantity", float(stats[k])) for k in ("mean", "least", "greatest")), *((name, v, float(n)) for name, values in found["tops"].items() for v, n in values)]
+    return spark.createDataFrame(out, "item string, value string, n double")
+
+
 @query("SELECT source AS value, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 3")
 def top3_source(spark, sf_dir):
     return profile.top_values(table(spark, sf_dir, "documents"), "source")
@@ -420,12 +434,12 @@ def key_columns(spark, sf_dir):
     return c.keep(orders, c.with_any(orders.columns, runs.KEY_PARTS))
 
 
-@query("SELECT * FROM (VALUES ('mobile', 8.0::DOUBLE, 2::BIGINT, 1::BIGINT, 0::BIGINT), ('web', 10.0, 1, 1, 0)) t(channel, avg_nps, total, promoters, detractors)")
+@query(f"SELECT event_type AS channel, round(avg(score), 6) AS avg_nps, count(*) AS total, count(CASE WHEN score >= 9 THEN 1 END) AS promoters, count(CASE WHEN score <= 6 THEN 1 END) AS detractors FROM ({_SCORED}) GROUP BY 1")
 def smoke_load(spark, sf_dir):
-    """Rows given here, written, read back and scored."""
+    """Responses written to a table, read back from it and scored."""
     name = f"sondeo_smoke_{uuid.uuid4().hex}"
     _made.append((spark, name))
-    return runs.smoke_load(spark, Warehouse(spark), name, RUN_TIME)
+    return runs.smoke_load(spark, Warehouse(spark), name, RUN_TIME, _responses(spark, sf_dir).drop("ts"))
 
 
 @query("""SELECT event_id, '[{"a": "Ã‰xito ó", "n": ' || event_id || '}]' AS cleaned_text, event_id % 2 = 0 AS parsed FROM events WHERE event_id % 2 = 0
@@ -516,12 +530,15 @@ def sql_to_frame(spark, sf_dir):
     return target.query(f"SELECT channel, count(*) AS n FROM {name} GROUP BY channel")
 
 
-@query("SELECT 'BM' AS kind, CAST(3 AS BIGINT) AS n, true AS scored UNION ALL SELECT 'BV', 3, true")
+@query(f"SELECT 'BM' AS kind, least(3, count(score)) AS n, true AS scored, 0 AS elsewhere FROM ({_SCORED}) UNION ALL SELECT 'BV', least(3, count(score)), true, 0 FROM ({_SCORED}) WHERE score > 8")
 def verify_rows(spark, sf_dir):
-    """A few scored rows of both loaded tables, counted: which ones they are is not fixed."""
+    """A few scored rows of both loaded tables, counted, and how many of them the tables don't hold: which ones they are is not fixed."""
     rows = _responses(spark, sf_dir)
-    shown = {"BM": ("nps_score", "channel"), "BV": ("nps_score",)}
-    parts = [runs.scored_rows(rows, cols).agg(F.lit(k).alias("kind"), F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_and(F.col("nps_score").isNotNull()), F.lit(False)).alias("scored")) for k, cols in shown.items()]
+    parts = []
+    for kind, own, cols in (("BM", rows, ("nps_score", "channel")), ("BV", rows.where("nps_score > 8"), ("nps_score",))):
+        there = own.select(*cols).distinct().withColumn("there", F.lit(True))
+        shown = runs.scored_rows(own, cols).join(there, list(cols), "left")
+        parts.append(shown.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_and(F.col("nps_score").isNotNull()), F.lit(True)).alias("scored"), F.count(F.when(F.col("there").isNull(), 1)).cast("int").alias("elsewhere")))
     return parts[0].union(parts[1])
 
 

@@ -116,6 +116,11 @@ class Counters:
     timezone_fixed: int = 0
     errors: int = 0
 
+    def lines(self) -> list[str]:
+        """A run's summary for a log."""
+        verdict = "valid: ready to load" if self.errors == 0 else "see to the errors before loading"
+        return [f"BM rows cleaned: {self.bm_processed:,}", f"BV rows cleaned: {self.bv_processed:,}", f"rows: {self.bm_processed + self.bv_processed:,}", f"encoding repaired: {self.encoding_fixed:,}", f"answers repaired: {self.json_fixed:,}", f"answers beyond repair: {self.json_corrupted:,}", f"date columns freed of offsets: {self.timezone_fixed:,}", f"errors: {self.errors:,}", verdict]
+
 
 def clean_file(df: DataFrame, file_name: str, run_time: datetime.datetime) -> DataFrame:
     return {"BM": clean_bm, "BV": clean_bv}[kind_of(file_name)](df, run_time)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import dates, text
 from ..functions.encoding import encoding_hits, fix_encoding
 from ..functions.jsonrepair import json_outcome
+from ..functions.scores import CATEGORIES
 from ..operators import aggregate, profile
 from ..operators import columns as c
 from ..operators.sampling import SIZE, cleaned_name, exact_sample, sample_name
-from ..sources import sinks
+from ..sources import sinks, workbooks
 from ..sources.runfolders import RunFolders
 from ..sources.scratch import spread
 from .cleaning import BM_DATES, BV_DATE, Counters, clean_file, kind_of
@@ -32,8 +33,8 @@ BV_KEPT_PARTS = ("calificación", "motivo", "tags", "sentiment")
 # Parts of names that make a column worth a look, and of those of dates.
 KEY_PARTS = ("answer", "nps", "score", "timestamp", "date")
 DATE_PARTS = ("date", "time", "fecha")
-# Rows of the smoke load.
-SMOKE_ROWS = (("CUST001", 9, "mobile", "¿Recomiendas la app?", 9), ("CUST002", 7, "mobile", "¿Recomiendas la app?", 7), ("CUST003", 10, "web", "¿Recomiendas el sitio?", 10))
+#: Rows of a smoke load that is given none: (customer, score, channel).
+SMOKE_ROWS = (("first", 4, "branch"), ("second", 9, "branch"), ("third", None, "phone"))
 
 
 #: An offset at the end of a date's text.
@@ -93,16 +94,26 @@ def log_to_file(path: str, level: int = logging.INFO) -> logging.Handler:
     return handler
 
 
-def clean_files(spark: SparkSession, paths: list[str] | str, out_dir: str, run_time: datetime.datetime, read: Callable[[SparkSession, str], DataFrame] | None = None) -> tuple[Counters, list[str]]:
-    """Cleans each file (a list, or a glob) to a folder of its own; one that fails is counted and the others go on."""
+def _save(df: DataFrame, path: str, form: str) -> str:
+    """Writes df as a folder of Parquet files, or as a workbook, and returns its path."""
+    if form == "workbook":
+        workbooks.register(df.sparkSession)
+        path = f"{path}.xlsx"
+    elif form != "parquet":
+        raise ValueError(f"a form is parquet or workbook, not {form!r}")
+    df.write.mode("overwrite").format(form).save(path)
+    return path
+
+
+def clean_files(spark: SparkSession, paths: list[str] | str, out_dir: str, run_time: datetime.datetime, read: Callable[[SparkSession, str], DataFrame] | None = None, form: str = "parquet") -> tuple[Counters, list[str]]:
+    """Cleans each file (a list, or a glob) to a folder, or a workbook, of its own; one that fails is counted and the others go on. The summary is logged. For very many files see together.py."""
     counters, written = Counters(), []
     for path in list_files(spark, paths) if isinstance(paths, str) else paths:
         try:
             raw = spread(read(spark, path) if read else spark.read.parquet(path))  # below what is observed: above it, an empty shuffle would take the metrics away
             metrics = Observation()
             cleaned = clean_file(raw.observe(metrics, *metrics_of(raw)), PurePosixPath(path).name, run_time)
-            target = f"{out_dir}/{cleaned_name(PurePosixPath(path).stem)}"
-            cleaned.write.mode("overwrite").parquet(target)
+            target = _save(cleaned, f"{out_dir}/{cleaned_name(PurePosixPath(path).stem)}", form)
             found = metrics.get
             counters.encoding_fixed += found["encoding_fixed"]
             counters.json_fixed += found["json_fixed"]
@@ -116,33 +127,40 @@ def clean_files(spark: SparkSession, paths: list[str] | str, out_dir: str, run_t
         except Exception:  # a run goes on with the next file, whatever is wrong with this one
             log.exception("could not clean %s", path)
             counters.errors += 1
+    for line in counters.lines():
+        log.info(line)
     return counters, written
 
 
-def extract_sample(df: DataFrame, key: str, stem: str, out_dir: str, n: int = SIZE) -> str:
-    """Writes a sample of exactly n rows, or all, and returns its folder, which names the size."""
+def extract_sample(df: DataFrame, key: str, stem: str, out_dir: str, n: int = SIZE, form: str = "parquet") -> str:
+    """Writes a sample of exactly n rows, or all, and returns its path, whose name tells its size. It is written once, under another name until it is whole."""
     metrics = Observation()
-    taken = exact_sample(df, key, n).observe(metrics, F.count(F.lit(1)).alias("n"))
-    partial = f"{out_dir}/_{stem}"
-    taken.write.mode("overwrite").parquet(partial)
-    target = f"{out_dir}/{sample_name(stem, metrics.get['n'])}"
-    df.sparkSession.read.parquet(partial).write.mode("overwrite").parquet(target)
+    partial = _save(exact_sample(df, key, n).observe(metrics, F.count(F.lit(1)).alias("n")), f"{out_dir}/_{stem}", form)
+    target = f"{out_dir}/{sample_name(stem, metrics.get['n'])}{partial.removeprefix(f'{out_dir}/_{stem}')}"
+    (made, fs), (path, _) = _path(df.sparkSession, partial), _path(df.sparkSession, target)
+    fs.delete(path, True)
+    if not fs.rename(made, path):
+        raise OSError(f"could not rename {partial}")
     return target
 
 
+def extraction_summary(samples: list[tuple[str, str, int]]) -> list[str]:
+    """Lines for a log of what was taken: of (file, sample, rows)."""
+    return [f"{a.rpartition('/')[2]} -> {b.rpartition('/')[2]} ({n:,} rows)" for a, b, n in samples] or ["no samples were taken"]
+
+
 def describe(df: DataFrame) -> dict:
-    """Profile of a cleaned or raw table: its size, key columns, statistics of scores, categories, dates."""
-    rows, width = profile.shape(df)
-    out: dict = {"rows": rows, "columns": width, "key_columns": c.with_any(df.columns, KEY_PARTS)}
+    """Profile of a cleaned or raw table: its size, key columns, statistics of scores, categories, dates. Two passes over the rows (profile.one_pass()); heads are of a few rows."""
     numeric = [n for n in df.columns if "nps" in n.lower() or "recomien" in n.lower() or n.startswith("csat_")]
-    out["stats"] = [r.asDict() for r in profile.column_stats(df, numeric).collect()] if numeric else []
-    if "nps_category" in df.columns:
-        out["categories"] = {r["value"]: r["n"] for r in profile.value_counts(df, "nps_category").collect()}
-    for name in ("country", "device"):
-        if name in df.columns:
-            out[f"top_{name}"] = [(r["value"], r["n"]) for r in profile.top_values(df, name).collect()]
-    if "date_submitted" in df.columns:
-        out["dates"] = tuple(profile.date_range(df, "date_submitted").head())
+    tops = [n for n in ("nps_category", "country", "device") if n in df.columns]
+    ranges = ["date_submitted"] if "date_submitted" in df.columns else []
+    found = profile.one_pass(df, numeric, tops, ranges, k=len(CATEGORIES))
+    out: dict = {"rows": found["rows"], "columns": len(df.columns), "key_columns": c.with_any(df.columns, KEY_PARTS)}
+    out["stats"] = [{"column": n, **x} for n, x in found["stats"].items()]
+    for n, values in found["tops"].items():
+        out["categories" if n == "nps_category" else f"top_{n}"] = dict(values) if n == "nps_category" else values[:3]
+    if ranges:
+        out["dates"] = found["ranges"]["date_submitted"]
     out["date_columns"] = c.with_any(df.columns, DATE_PARTS)
     shown = c.keep(df, out["key_columns"] or df.columns)
     out["head"] = [r.asDict() for r in shown.limit(3).collect()]
@@ -151,6 +169,21 @@ def describe(df: DataFrame) -> dict:
     return out
 
 
+def report(found: dict) -> list[str]:
+    """A profile as lines for a log: counts with thousands apart, means with two digits."""
+    lines = [f"{found['rows']:,} rows, {found['columns']} columns"]
+    for x in found["stats"]:
+        if x["n"]:
+            lines.append(f"{x['column']}: {x['n']:,} values, mean {x['mean']:.2f}, from {x['least']:.1f} to {x['greatest']:.1f}")
+    for name in ("categories", "top_country", "top_device"):
+        values = found.get(name) or {}
+        if values:
+            lines.append(f"{name}: " + ", ".join(f"{v} {n:,}" for v, n in (values.items() if isinstance(values, dict) else values)))
+    if found.get("dates") and found["dates"][0] is not None:
+        lines.append(f"dates: {found['dates'][0]} to {found['dates'][1]}")
+    return lines
+
+
 def first_answers(df: DataFrame, k: int = 3, shown: int = 150) -> DataFrame:
     """Of the first k answer lists that are not null the beginning and what is wrong with them: a report, not a sample to work on."""
     rows = df.where(F.col("answers").isNotNull()).limit(k)
@@ -189,6 +222,7 @@ class Summary:
     bm_inserted: int = 0
     bv_inserted: int = 0
     errors: int = 0
+    tables: dict[str, int] = field(default_factory=dict)
     started: datetime.datetime | None = None
     ended: datetime.datetime | None = None
 
@@ -223,6 +257,12 @@ def load_files(spark: SparkSession, bm_path: str, bv_path: str, target: sinks.Ta
             log.exception("could not load %s", path)
             summary.errors += 1
     if summary.valid:
+        summary.tables = {name: target.read(name).count() for name in (BM_TABLE, BV_TABLE)}
+        for name, rows in summary.tables.items():
+            log.info("%s: %s rows in the table", name, f"{rows:,}")
+        if summary.tables[BV_TABLE] != summary.bv_inserted or summary.tables[BM_TABLE] < summary.bm_inserted:
+            log.error("the tables do not hold what was written: %s", summary.tables)
+            summary.errors += 1
         for name, rows in verify(target).items():
             log.info("%s: %s", name, rows)
     summary.ended = datetime.datetime.now()
@@ -231,9 +271,10 @@ def load_files(spark: SparkSession, bm_path: str, bv_path: str, target: sinks.Ta
     return summary
 
 
-def smoke_load(spark: SparkSession, target: sinks.Target, table: str, now: datetime.datetime) -> DataFrame:
-    """Three rows written to a table, read back and scored by channel: tells that a target works."""
-    rows = spark.createDataFrame([(now, *r, "2024-08") for r in SMOKE_ROWS], "timestamp timestamp_ntz, customer_id string, nps_score int, channel string, q1_title string, q1_value int, month_year string")
+def smoke_load(spark: SparkSession, target: sinks.Target, table: str, now: datetime.datetime, rows: DataFrame | None = None) -> DataFrame:
+    """Rows (three of our own, if none are given) written to a table, read back and scored by channel: tells that a target works."""
+    if rows is None:
+        rows = spark.createDataFrame([(now, *r, "2024-08") for r in SMOKE_ROWS], "timestamp timestamp_ntz, customer_id string, nps_score int, channel string, month_year string")
     target.replace(rows, table)
     return aggregate.score_by(target.read(table), "channel")
 

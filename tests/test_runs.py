@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from sondeo.operators import aggregate
 from sondeo.plans import cleaning, runs
-from sondeo.sources import sinks, xlsx
+from sondeo.sources import sinks, workbooks, xlsx
 from sondeo.streaming.incremental import clean_new_files
 
 NOW = datetime.datetime(2025, 9, 1)
@@ -55,9 +55,27 @@ def test_files_are_cleaned_apart_and_counted(spark, tmp_path):
     assert runs.describe(spark.read.parquet(written[1]))["rows"] == 1
 
 
+def test_samples_and_cleaned_files_as_workbooks(spark, tmp_path):
+    rows = spark.range(30).selectExpr("id", "concat('Ã³ ', id) as channel")
+    made = [runs.extract_sample(rows, "id", "agosto_bm", str(tmp_path / "muestras"), n, "workbook") for n in (20, 99)]
+    assert [m.rpartition("/")[2] for m in made] == ["agosto_bm_muestra_20.xlsx", "agosto_bm_muestra_30.xlsx"]
+    assert runs.extraction_summary([("agosto_bm.xlsx", made[0], 20)]) == ["agosto_bm.xlsx -> agosto_bm_muestra_20.xlsx (20 rows)"] and runs.extraction_summary([]) == ["no samples were taken"]
+    workbooks.register(spark)
+    counters, written = runs.clean_files(spark, made, str(tmp_path / "limpias"), NOW, lambda s, p: s.read.format("workbook").load(p), "workbook")
+    assert [w.rpartition("/")[2] for w in written] == ["agosto_bm_muestra_20_LIMPIO.xlsx", "agosto_bm_muestra_30_LIMPIO.xlsx"]
+    assert sorted(p.name for p in (tmp_path / "limpias").iterdir()) == sorted(w.rpartition("/")[2] for w in written)
+    assert {r.channel[:1] for r in spark.read.format("workbook").load(written[0]).collect()} == {"ó"}
+    assert counters.bm_processed == 50 and "BM rows cleaned: 50" in counters.lines() and "valid: ready to load" in counters.lines()
+    assert "see to the errors before loading" in cleaning.Counters(errors=1).lines()
+    with pytest.raises(ValueError):
+        runs.extract_sample(rows, "id", "x", str(tmp_path), 2, "csv")
+
+
 def test_sample_names_its_size(spark, tmp_path):
     target = runs.extract_sample(spark.range(100).toDF("id"), "id", "agosto_bm", str(tmp_path), 20)
     assert target.endswith("agosto_bm_muestra_20") and spark.read.parquet(target).count() == 20
+    assert runs.extract_sample(spark.range(100).toDF("id"), "id", "agosto_bm", str(tmp_path), 20) == target
+    assert [p.name for p in tmp_path.iterdir()] == ["agosto_bm_muestra_20"] and spark.read.parquet(target).count() == 20
 
 
 @pytest.mark.parametrize("kind", ["warehouse", "jdbc"])
@@ -135,7 +153,8 @@ def test_load_files_counts_and_sums_up(spark, tmp_path, kind):
     runs.log.removeHandler(handler)
     assert (done.bm_inserted, done.bv_inserted, done.inserted, done.errors, done.valid) == (2, 1, 3, 0, True) and done.ended >= done.started
     assert "BM rows: 2" in (tmp_path / "log.txt").read_text()
-    assert target.read(runs.BM_TABLE).count() == 2
+    assert target.read(runs.BM_TABLE).count() == 2 and done.tables == {runs.BM_TABLE: 2, runs.BV_TABLE: 1}
+    assert f"{runs.BV_TABLE}: 1 rows in the table" in (tmp_path / "log.txt").read_text()
     (tmp_path / "bad").mkdir()
     failed = runs.load_files(spark, str(tmp_path / "bm"), str(tmp_path / "bad"), target)
     assert failed.errors == 1 and not failed.valid and target.read(runs.BM_TABLE).count() == 4
@@ -144,7 +163,7 @@ def test_load_files_counts_and_sums_up(spark, tmp_path, kind):
     assert sinks.connected(sinks.Jdbc(spark, "jdbc:nothing:x")) is None
     with pytest.raises(ConnectionError):
         runs.load_files(spark, str(tmp_path / "bm"), str(tmp_path / "bv"), sinks.Jdbc(spark, "jdbc:nothing:x"))
-    assert sorted(map(tuple, runs.smoke_load(spark, target, "smoke_rows", NOW).collect())) == [("mobile", 8.0, 2, 1, 0), ("web", 10.0, 1, 1, 0)]
+    assert sorted(map(tuple, runs.smoke_load(spark, target, "smoke_rows", NOW).collect())) == [("branch", 6.5, 2, 1, 1), ("phone", None, 1, 0, 0)]
     for t in (runs.BM_TABLE, runs.BV_TABLE, "smoke_rows"):
         target.drop(t)
 
@@ -206,3 +225,29 @@ def test_text_without_marks_is_left_as_it_is(spark):
                 t = t if t is None else t.replace(wrong, right)
             want.append(t)
         assert [r.x for r in rows.select(encoding.fix_encoding(F.col("t"), rules).alias("x")).collect()] == want
+
+
+def test_a_profile_takes_two_passes(spark):
+    df = spark.range(3000).selectExpr("cast(id % 11 as double) as nps_score", "case when id % 11 <= 6 then 'Detractor' when id % 11 <= 8 then 'Neutral' else 'Promotor' end as nps_category", "if(id % 10 = 0, null, concat('c', cast(sqrt(id % 100) as int))) as country", "concat('d', id) as device", "timestamp_ntz'2025-08-01 00:00:00' + make_dt_interval(cast(id % 5 as int)) as date_submitted", "'x' as csat_text").persist()
+    df.count()
+    spark.sparkContext.setJobGroup("profile", "profile")
+    found = runs.describe(df.drop("device"))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("profile"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 7  # two passes of up to three jobs each, as stages of adaptive plans are submitted apart, and the head
+    assert found["rows"] == 3000 and found["columns"] == 5
+    assert found["categories"] == {r["value"]: r["n"] for r in profile_counts(df, "nps_category")}
+    assert found["top_country"] == [(r["value"], r["n"]) for r in profile_counts(df, "country")[:3]]
+    assert [x["n"] for x in found["stats"] if x["column"] == "csat_text"] == [0]
+    full = runs.describe(df)
+    assert full["top_device"] == [(r["value"], r["n"]) for r in profile_counts(df, "device")[:3]]  # nothing stands out: counted as a whole
+    lines = runs.report(full)
+    assert lines[0] == "3,000 rows, 6 columns" and any(x.startswith("nps_score: 3,000 values, mean 5.00, from 0.0 to 10.0") for x in lines) and not any("csat_text" in x for x in lines)
+    assert runs.report(runs.describe(df.where("false")))[0] == "0 rows, 6 columns"
+    df.unpersist()
+
+
+def profile_counts(df, name):
+    from sondeo.operators import profile
+
+    return profile.value_counts(df, name).collect()
