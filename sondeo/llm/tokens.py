@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
-#: Bytes of parts and their ids that a worker remembers; beyond it, it starts anew. Characters, and parts, that are encoded in one call.
+#: Bytes of parts and their ids that a task remembers; beyond it, it starts anew. Characters, and parts, that are encoded in one call.
 MEMO_BYTES, CALL_CHARS, CALL_PARTS = 96 << 20, 1 << 20, 500
 #: A space between white space, or after it at the end: the split before the space may not be a split of the tokenizer.
 SPACED = re.compile(r"\s \s|\s $")
@@ -44,27 +44,31 @@ def is_unusual(text: str) -> bool:
     return UNUSUAL.search(text) is not None
 
 
+def _tokenizers(vocabulary: str) -> tuple:
+    """The tokenizer, one of the same model that splits at line feeds only, and its id of these; made once per worker process and vocabulary."""
+    import tokenizers
+
+    made = tokenizers.__dict__.setdefault("_of_vocabularies", {})  # functions travel by value: their own module's names don't outlive a task
+    if vocabulary not in made:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        own = tokenizers.Tokenizer.from_file(vocabulary)
+        bare, line_feed = tokenizers.Tokenizer(own.model), byte_letters()[10]
+        bare.pre_tokenizer = tokenizers.pre_tokenizers.Split(line_feed, "isolated")
+        made[vocabulary] = own, bare, bare.token_to_id(line_feed)
+    return made[vocabulary]
+
+
 def encoder(vocabulary: str) -> Encoder:
-    """A function from texts to their ids (uint32); made once per worker process and vocabulary.
+    """A function from texts to their ids (uint32), for one task: what it remembers goes with it.
 
     All ids come from the tokenizers library. A text falls apart where the tokenizer surely splits it: into runs of letters
-    and of other characters, or, if it has anything unusual, before its spaces. A part that the worker has met before is
+    and of other characters, or, if it has anything unusual, before its spaces. A part that the task has met before is
     not encoded again; runs of letters go to the library's model without being split once more. Texts with white space in
     which a space is not a split, with strings of added tokens, or of tokenizers that don't split at spaces are encoded whole.
     """
-    import tokenizers
-
-    made = tokenizers.__dict__.setdefault("_encoders_of_vocabularies", {})  # functions travel by value: their own module's names don't outlive a task
-    if vocabulary in made:
-        return made[vocabulary]
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    own = tokenizers.Tokenizer.from_file(vocabulary)
-    spec = json.loads(own.to_str())
+    own, bare, end_of_run = _tokenizers(vocabulary)
+    spec, letters = json.loads(own.to_str()), byte_letters()
     added = [t["content"] for t in spec["added_tokens"]]
-    letters = byte_letters()
-    bare = tokenizers.Tokenizer(own.model)
-    bare.pre_tokenizer = tokenizers.pre_tokenizers.Split(letters[10], "isolated")
-    end_of_run = bare.token_to_id(letters[10])
     in_parts = split_at_spaces(spec) and end_of_run is not None
     memo: dict[str, bytes] = {}
     size = 0
@@ -125,4 +129,4 @@ def encoder(vocabulary: str) -> Encoder:
             out[i] = np.frombuffer(b"".join(found), "<u4")
         return out
 
-    return made.setdefault(vocabulary, encode)
+    return encode
