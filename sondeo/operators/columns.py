@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scores import to_number
+
 
 def col(name: str):
     """The column of exactly this name, whatever characters it has."""
@@ -44,3 +46,17 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
 def drop_blank_rows(df: DataFrame) -> DataFrame:
     """Without rows in which every column is null. With a column that never is, no filter: pushed down, it would compute all others twice."""
     return df.dropna("all") if all(f.nullable for f in df.schema.fields) else df
+
+
+def retype_numbers(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
+    """df with text columns (all, or the named ones) as numbers where every text in them is one: whole numbers as long, others as double.
+
+    As a table read back from text takes its types. One aggregate looks at all columns; a column without any text stays.
+    """
+    own = [n for n in (text_columns(df) if names is None else names) if n in text_columns(df)]
+    if not own:
+        return df
+    is_whole = lambda n: F.rlike(col(n), F.lit(r"^\s*[+-]?\d{1,18}\s*$"))
+    counts = df.agg(*(x.alias(f"{k}{i}") for i, n in enumerate(own) for k, x in (("n", F.count(col(n))), ("number", F.count(to_number(col(n)))), ("whole", F.count(F.when(is_whole(n), 1)))))).head()
+    kinds = {n: "long" if counts[f"whole{i}"] == counts[f"n{i}"] else "double" for i, n in enumerate(own) if counts[f"n{i}"] and counts[f"number{i}"] == counts[f"n{i}"]}
+    return df.withColumns({n: F.trim(F.regexp_replace(col(n), r"\s", "")).try_cast("long") if k == "long" else to_number(col(n)) for n, k in kinds.items()})

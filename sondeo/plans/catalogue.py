@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import answers, dates, jsonrepair, scores, text
 from ..functions.encoding import PLAIN_RULES, encoding_hits, fix_encoding
-from ..operators import aggregate, profile
+from ..operators import aggregate, profile, reconcile
 from ..operators import columns as c
 from ..operators.sampling import exact_sample
 from ..sources import workbooks
@@ -488,6 +488,25 @@ def placeholders_to_null(spark, sf_dir):
     return kept.agg(F.lit(runs.BM_TABLE).alias("name"), F.count(F.lit(1)).alias("n"), F.count("channel").alias("named")) if kept.columns == ["channel"] else kept
 
 
+@query("SELECT event_id, event_type AS channel, CAST(score AS DOUBLE) AS nps_score, only_in FROM (SELECT event_id, event_type, score, 'source' AS only_in FROM (" + _SCORED + ") WHERE event_id % 500 IN (3, 7) UNION ALL SELECT event_id, event_type, 11 - score, 'table' FROM (" + _SCORED + ") WHERE event_id % 500 = 7 AND score IS NOT NULL) WHERE event_id % 500 = 3 OR score <> 5.5")
+def reconcile_rows(spark, sf_dir):
+    """A table that lacks some rows and has other scores in some: both are named, from their groups only."""
+    rows = _responses(spark, sf_dir).select("event_id", "channel", "nps_score").withColumn("part", (F.col("event_id") % 50).cast("string")).where("nps_score is not null or event_id % 500 != 7")
+    name = f"sondeo_reconcile_{uuid.uuid4().hex}"
+    _made.append((spark, name))
+    target = Warehouse(spark)
+    target.replace(rows.where("event_id % 500 != 3").withColumn("nps_score", F.when(F.col("event_id") % 500 == 7, 11 - F.col("nps_score")).otherwise(F.col("nps_score"))), name)
+    return reconcile.differing_rows(rows, target, name, ["part"]).drop("part")
+
+
+@query("SELECT event_id AS whole, value AS number, CASE WHEN event_id % 5 = 0 THEN 'x' ELSE CAST(event_id AS VARCHAR) END AS mixed, CAST(NULL AS VARCHAR) AS empty FROM events")
+def retype_numbers(spark, sf_dir):
+    """Text columns of which all texts are whole numbers, all are numbers, some are none, none is there."""
+    e = table(spark, sf_dir, "events")
+    raw = e.select(F.col("event_id").cast("string").alias("whole"), F.col("value").cast("string").alias("number"), F.when(F.col("event_id") % 5 == 0, "x").otherwise(F.col("event_id").cast("string")).alias("mixed"), F.lit(None).cast("string").alias("empty"))
+    return c.retype_numbers(raw)
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(event_id % 11 AS VARCHAR) AS score, CASE WHEN event_id % 3 = 0 THEN NULL ELSE '<' || props || '>' END AS answers FROM events")
 def workbook_round_trip(spark, sf_dir):
     """Written as a folder of workbooks, one a task, and read back as text."""

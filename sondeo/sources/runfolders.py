@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.reconcile import in_groups, sums_of
 from .sinks import Write, counted
 
 log = logging.getLogger("sondeo")
@@ -88,6 +89,12 @@ class RunFolders:
             self.read(name).createOrReplaceTempView(name)
         return self.spark.sql(sql)
 
+    def sums(self, table: str, groups: Sequence[str], measured: Sequence[tuple[str, str, str]]) -> DataFrame:
+        return sums_of(self.read(table), groups, measured)
+
+    def members(self, table: str, groups: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
+        return self.read(table).where(in_groups(groups, values))
+
     def clean(self) -> int:
         """Deletes the folders that no table is made of any more or never was: of stopped runs, and of replaced tables. Returns how many; not while a run is being published."""
         tables = {t["name"] for r in self.records() for t in r["tables"]}

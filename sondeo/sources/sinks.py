@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import col
+from ..operators.reconcile import in_groups, sums_of
 
 log = logging.getLogger("sondeo")
 
@@ -34,6 +35,8 @@ class Target(Protocol):
     def replace(self, df: DataFrame, table: str) -> None: ...
     def read(self, table: str) -> DataFrame: ...
     def query(self, sql: str) -> DataFrame: ...
+    def sums(self, table: str, groups: Sequence[str], measured: Sequence[tuple[str, str, str]]) -> DataFrame: ...
+    def members(self, table: str, groups: Sequence[str], values: Sequence[Sequence]) -> DataFrame: ...
     def drop(self, table: str) -> None: ...
     def version(self) -> str: ...
 
@@ -96,6 +99,14 @@ class Warehouse:
     def query(self, sql: str) -> DataFrame:
         return self.spark.sql(sql)
 
+    def sums(self, table: str, groups: Sequence[str], measured: Sequence[tuple[str, str, str]]) -> DataFrame:
+        """The measures of reconcile.measures() by group."""
+        return sums_of(self.read(table), groups, measured)
+
+    def members(self, table: str, groups: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
+        """The rows of some groups, each a value per column."""
+        return self.read(table).where(in_groups(groups, values))
+
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
@@ -142,6 +153,28 @@ class Jdbc:
         dealt = {"partitionColumn": by, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
         return self.spark.read.format("jdbc").options(url=self.url, dbtable=table, **dealt, **self.options).load()
 
+    def sums(self, table: str, groups: Sequence[str], measured: Sequence[tuple[str, str, str]]) -> DataFrame:
+        """The measures of reconcile.measures() by group, added up by the database."""
+        by = self._comparable(table, groups)
+        of = {"count": lambda n: f'COUNT("{n}")' if n else "COUNT(*)", "sum": lambda n: f'SUM("{n}")', "length": lambda n: f'SUM(CAST(LENGTH("{n}") AS BIGINT))'}
+        listed = [*(f'{x} AS "{g}"' for g, x in by.items()), *(f'{of[f](n)} AS "{name}"' for name, f, n in measured)]
+        found = self.query(f"SELECT {', '.join(listed)} FROM {table} GROUP BY {', '.join(by.values())}")
+        return found.withColumns({name: F.round(name, 4) for name, f, _ in measured if f == "sum"})
+
+    def _comparable(self, table: str, names: Sequence[str]) -> dict[str, str]:
+        """What stands for each column where values are compared: not every database compares texts of any length."""
+        kinds = self._columns(table)
+        return {n: f'CAST("{n}" AS VARCHAR(255))' if any(x in kinds[n] for x in ("CHAR", "LOB", "TEXT")) else f'"{n}"' for n in names}
+
+    def members(self, table: str, groups: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
+        """The rows of some groups, each a value per column, found by the database and dealt to connections."""
+        by = self._comparable(table, groups)
+        literal = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else repr(v) if isinstance(v, (int, float)) else f"'{v}'"
+        one = lambda own: " AND ".join(f"{by[g]} IS NULL" if v is None else f"{by[g]} = {literal(v)}" for g, v in zip(groups, own, strict=True))
+        tests = [f"({one(v)})" for v in values]
+        dealt = [" OR ".join(tests[i::CONNECTIONS]) for i in range(min(CONNECTIONS, len(tests)))]
+        return self.spark.read.jdbc(self.url, table, predicates=dealt or ["1 = 0"], properties=self.options)
+
     def _columns(self, table: str) -> dict[str, str]:
         """Names and types of the columns, in order; none if there is no such table."""
 

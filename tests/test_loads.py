@@ -185,3 +185,23 @@ def test_indexes_are_made_once(spark):
     assert target.create_indexes() == []
     target._statement(lambda c: [c.createStatement().execute(x) for x in (f"DROP TABLE {runs.BV_TABLE}", f'CREATE TABLE {runs.BV_TABLE} ("country" VARCHAR(99), "device" VARCHAR(99))')])
     assert target.create_indexes() == ["idx_bv_device", "idx_bv_country"]
+
+
+@pytest.mark.parametrize("kind", ["jdbc", "warehouse"])
+def test_a_changed_row_is_named(spark, kind):
+    from sondeo.operators import reconcile
+
+    target = derby(spark, "reconciled") if kind == "jdbc" else sinks.Warehouse(spark)
+    source = spark.range(400).selectExpr("id", "if(id % 50 = 0, null, concat('2025-', id % 5)) as month_year", "concat('c ', id % 7) as channel", "cast(id % 11 as double) as nps_score")
+    assert kind == "jdbc" or not target.drop("reconciled")
+    target.replace(source, "reconciled")
+    assert reconcile.differing_groups(source, target, "reconciled", ["month_year"]).count() == 0 and reconcile.differing_rows(source, target, "reconciled", ["month_year"]).count() == 0
+    changed = source.where("id <> 13").withColumn("nps_score", F.when(F.col("id") == 22, 0.5).otherwise(F.col("nps_score"))).withColumn("channel", F.when(F.col("id") == 100, "other").otherwise(F.col("channel"))).union(source.where("id = 31"))
+    target.replace(changed, "reconciled")
+    groups = {r.month_year: (r.source_rows, r.table_rows) for r in reconcile.differing_groups(source, target, "reconciled", ["month_year"]).collect()}
+    assert set(groups) == {"2025-3", "2025-2", "2025-1", None} and groups["2025-3"] == (80, 79)
+    for most in (500, 2):
+        reconcile.MOST_GROUPS = most
+        got = sorted((r.id, r.only_in) for r in reconcile.differing_rows(source, target, "reconciled", ["month_year"]).collect())
+        assert got == [(13, "source"), (22, "source"), (22, "table"), (31, "table"), (100, "source"), (100, "table")]
+    target.drop("reconciled")
