@@ -22,7 +22,7 @@ from ..operators.sampling import exact_sample
 from ..sources import workbooks
 from ..sources.runfolders import RunFolders
 from ..sources.sinks import Warehouse, checksum
-from . import cleaning, runs
+from . import cleaning, runs, together
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -488,6 +488,62 @@ def placeholders_to_null(spark, sf_dir):
     return kept.agg(F.lit(runs.BM_TABLE).alias("name"), F.count(F.lit(1)).alias("n"), F.count("channel").alias("named")) if kept.columns == ["channel"] else kept
 
 
+def _folder(spark: SparkSession, what: str) -> str:
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/sondeo_{what}_{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+@query(
+    """WITH f AS (SELECT event_id, 'file_' || event_id % 2 || '_bm_LIMPIO' AS file, event_id % 3 AS k FROM events)
+    SELECT file AS item, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY 1 UNION ALL SELECT 'agosto_bv_LIMPIO', count(*) FROM pages UNION ALL SELECT 'bm_processed', count(*) FROM f UNION ALL SELECT 'bv_processed', count(*) FROM pages
+    UNION ALL SELECT 'encoding_fixed', count(CASE WHEN k = 1 THEN 1 END) + (SELECT count(*) FROM pages) FROM f UNION ALL SELECT 'json_fixed', count(CASE WHEN k = 0 THEN 1 END) FROM f UNION ALL SELECT 'json_corrupted', count(CASE WHEN k = 2 THEN 1 END) FROM f
+    UNION ALL SELECT 'timezone_fixed', 2 UNION ALL SELECT 'errors', 1
+    UNION ALL SELECT 'sum of scores', CAST(sum(CASE WHEN event_id % 2 = 0 AND k = 0 THEN event_id % 11 WHEN event_id % 2 = 1 THEN 3 END) AS BIGINT) FROM f"""
+)
+def clean_run(spark, sf_dir):
+    """Two BM files and a BV file cleaned together, a third name of neither kind: rows by file and what was counted. In the second BM file no row answers the question, so the raw column makes its scores."""
+    root, e = _folder(spark, "clean"), F.col("event_id")
+    answered = F.concat(F.lit("[{'subQuestionId': 'nps_rate_recomendation', 'answerValue': "), (e % 11).cast("string"), F.lit("}]"))
+    other = F.lit("[{'subQuestionId': 'x', 'answerValue': 1}]")
+    raw = table(spark, sf_dir, "events").select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("timestamp"), F.when(e % 3 == 1, F.lit("Ã³")).otherwise("web").alias("channel"), F.lit("3").alias("nps_score_original"), F.when(e % 3 == 0, F.when(e % 2 == 0, answered).otherwise(other)).when(e % 3 == 1, "[]").otherwise("['k']x").alias("answers"))
+    for i in (0, 1):
+        raw.where(e % 2 == i).drop("event_id").write.parquet(f"{root}/in/file_{i}_bm.parquet")
+    table(spark, sf_dir, "pages").select(F.lit("PerÃº").alias("Country"), F.col("url").alias("Source URL")).write.parquet(f"{root}/in/agosto_bv.parquet")
+    raw.limit(1).write.parquet(f"{root}/in/neither.parquet")
+    counters, written = together.clean_together(spark, f"{root}/in/*.parquet", f"{root}/out", RUN_TIME)
+    cleaned = spark.read.option("mergeSchema", "true").parquet(f"{root}/out")
+    parts = [
+        cleaned.where(F.col("file").isin([w.rpartition("=")[2] for w in written])).groupBy(F.col("file").alias("item")).agg(F.count(F.lit(1)).alias("n")),
+        spark.createDataFrame([(k, v) for k, v in vars(counters).items()], "item string, n long"),
+        cleaned.agg(F.sum("nps_score").cast("long").alias("n")).select(F.lit("sum of scores").alias("item"), "n"),
+    ]
+    return functools.reduce(DataFrame.union, parts)
+
+
+@query("SELECT 'agosto_bm_muestra_' || (count(*) // 4) AS name, CAST(count(*) // 4 AS BIGINT) AS n, CAST(count(*) // 4 AS BIGINT) AS ids FROM events UNION ALL SELECT 'agosto_bm_muestra_' || count(*), count(*), count(*) FROM events")
+def extract_run(spark, sf_dir):
+    """A quarter of the events, and more than there are, as samples whose names tell their sizes."""
+    e, root = table(spark, sf_dir, "events"), _folder(spark, "extract")
+    n = e.count()
+    made = [runs.extract_sample(e, "event_id", "agosto_bm", root, k) for k in (n // 4, n + 5)]
+    parts = [spark.read.parquet(m).agg(F.lit(m.rpartition("/")[2]).alias("name"), F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids")) for m in made]
+    return parts[0].union(parts[1])
+
+
+@query(
+    f"""WITH t AS (SELECT *, {_CATEGORY.format("score")} AS category FROM ({_SCORED}))
+    SELECT format('{{:,}}', count(*)) || ' rows, 4 columns' AS line FROM t UNION ALL SELECT 'nps_score: ' || format('{{:,}}', count(score)) || ' values, mean ' || printf('%.2f', avg(score)) || ', from ' || printf('%.1f', CAST(min(score) AS DOUBLE)) || ' to ' || printf('%.1f', CAST(max(score) AS DOUBLE)) FROM t
+    UNION ALL SELECT 'categories: ' || string_agg(category || ' ' || format('{{:,}}', n), ', ' ORDER BY n DESC, category) FROM (SELECT category, count(*) AS n FROM t GROUP BY 1)
+    UNION ALL SELECT 'top_device: ' || string_agg(event_type || ' ' || format('{{:,}}', n), ', ' ORDER BY n DESC, event_type) FROM (SELECT event_type, count(*) AS n FROM t GROUP BY 1 ORDER BY n DESC, 1 LIMIT 3)
+    UNION ALL SELECT 'dates: ' || strftime(min(date_trunc('second', ts)), '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(max(date_trunc('second', ts)), '%Y-%m-%d %H:%M:%S') FROM t"""
+)
+def describe_report(spark, sf_dir):
+    """The profile of scored responses, as the lines that a run logs."""
+    rows = _responses(spark, sf_dir).select("nps_score", scores.categorize(F.col("nps_score")).alias("nps_category"), F.col("channel").alias("device"), F.date_trunc("second", "ts").cast("timestamp_ntz").alias("date_submitted"))
+    return spark.createDataFrame([(x,) for x in runs.report(runs.describe(rows))], "line string")
+
+
 @query("SELECT event_id, event_type AS channel, CAST(score AS DOUBLE) AS nps_score, only_in FROM (SELECT event_id, event_type, score, 'source' AS only_in FROM (" + _SCORED + ") WHERE event_id % 500 IN (3, 7) UNION ALL SELECT event_id, event_type, 11 - score, 'table' FROM (" + _SCORED + ") WHERE event_id % 500 = 7 AND score IS NOT NULL) WHERE event_id % 500 = 3 OR score <> 5.5")
 def reconcile_rows(spark, sf_dir):
     """A table that lacks some rows and has other scores in some: both are named, from their groups only."""
