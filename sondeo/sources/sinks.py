@@ -7,8 +7,9 @@ import math
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from typing import Protocol
+from typing import Any, Protocol
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,8 @@ log = logging.getLogger("sondeo")
 
 #: Rows of one INSERT, and connections of one write or read.
 BATCH_ROWS, CONNECTIONS = 1000, 8
+#: How long a connection may take to say that it still answers.
+PING_SECONDS = 5
 #: Values of a text column, at most, by which a read is dealt to connections.
 MOST_VALUES = 500
 #: Where a database keeps which runs it has loaded.
@@ -122,6 +125,8 @@ class Jdbc:
     url: str = field(default_factory=lambda: os.environ.get("SONDEO_JDBC_URL", ""))
     options: dict[str, str] = field(default_factory=lambda: {k: v for k, v in (("user", os.environ.get("SONDEO_JDBC_USER")), ("password", os.environ.get("SONDEO_JDBC_PASSWORD")), ("driver", os.environ.get("SONDEO_JDBC_DRIVER"))) if v})
 
+    _connection: Any = field(default=None, init=False, repr=False, compare=False)
+
     def _write(self, df: DataFrame, table: str, mode: str) -> None:
         """CONNECTIONS tasks write; what makes the rows keeps its own partitions."""
         df.repartition(CONNECTIONS).write.jdbc(self.url, table, mode=mode, properties={"batchsize": str(BATCH_ROWS), **self.options})
@@ -271,6 +276,8 @@ class Jdbc:
             except Exception:
                 c.rollback()
                 raise
+            finally:
+                c.setAutoCommit(True)
 
         self._statement(move)
         for w, stage, *_ in staged:
@@ -278,18 +285,37 @@ class Jdbc:
                 self.drop(stage)
         return True
 
-    def _statement(self, use):
+    def _connect(self):
         jvm = self.spark.sparkContext._jvm
         if driver := self.options.get("driver"):
             jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
         properties = jvm.java.util.Properties()
         for k, v in self.options.items():
             properties.setProperty(k, v)
-        connection = jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        return jvm.java.sql.DriverManager.getConnection(self.url, properties)
+
+    def _statement(self, use):
+        """use(connection). The driver's own statements share one connection, which is asked before each use whether it still answers and made anew if it doesn't; Spark's reads and writes have their own."""
+        if self._connection is not None and not self._connection.isValid(PING_SECONDS):
+            self.close()
+        if self._connection is None:
+            self._connection = self._connect()
         try:
-            return use(connection)
-        finally:
-            connection.close()
+            return use(self._connection)
+        except Exception:
+            self.close()
+            raise
+
+    def close(self) -> None:
+        """Closes the shared connection; the next statement makes another."""
+        held, self._connection = self._connection, None
+        if held is not None:
+            try:
+                if not held.getAutoCommit():
+                    held.rollback()
+                held.close()
+            except Py4JJavaError:  # it is broken already
+                log.warning("a connection could not be closed")
 
     def drop(self, table: str) -> None:
         self._statement(lambda c: c.createStatement().execute(f"DROP TABLE {table}"))

@@ -205,3 +205,18 @@ def test_a_changed_row_is_named(spark, kind):
         got = sorted((r.id, r.only_in) for r in reconcile.differing_rows(source, target, "reconciled", ["month_year"]).collect())
         assert got == [(13, "source"), (22, "source"), (22, "table"), (31, "table"), (100, "source"), (100, "table")]
     target.drop("reconciled")
+
+
+def test_statements_share_a_connection_that_still_answers(spark):
+    target = derby(spark, "shared")
+    first = target._statement(lambda c: c)
+    assert target._statement(lambda c: c) is first and target.version().startswith("Apache Derby")
+    first.close()
+    second = target._statement(lambda c: c)
+    assert second is not first and not second.isClosed()
+    with pytest.raises(Exception, match="NO_SUCH"):
+        target.drop("NO_SUCH")
+    assert second.isClosed() and target._statement(lambda c: c.isValid(1))
+    target.close()
+    target.close()
+    assert sinks.connected(target)
