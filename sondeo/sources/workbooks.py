@@ -163,6 +163,7 @@ class WorkbookWriter(ds.DataSourceArrowWriter):
         store, path = _store(self.uri)
         if not overwrite and (_files(self.uri)[1] if self.folder and self._is(store, path, pafs.FileType.Directory) else self._is(store, path, pafs.FileType.File)):
             raise ValueError(f"{uri} is there already")
+        store.create_dir(self._places()[2])  # here and not by tasks: one that still runs when the job has failed finds no folder
 
     def _is(self, store: pafs.FileSystem, path: str, kind: pafs.FileType) -> bool:
         return store.get_file_info(path).type == kind
@@ -173,7 +174,6 @@ class WorkbookWriter(ds.DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, _, parts = self._places()
-        store.create_dir(parts)
         number, files = TaskContext.get().partitionId(), []
         out: _Part | None = None
         for batch in iterator:
@@ -205,7 +205,6 @@ class WorkbookWriter(ds.DataSourceArrowWriter):
                 return
             if (rows := sum(n for _, n in files)) > SHEET_ROWS:
                 raise ValueError(f"{rows} rows: a sheet holds {SHEET_ROWS} below its head; each=task writes as many workbooks as are needed")
-            store.create_dir(parts)
             made = f"{parts}/book"
             with store.open_output_stream(made) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
                 package(book)
