@@ -325,8 +325,9 @@ def _tile_links(a: pd.Series, b: pd.Series | None) -> list[tuple[int, int]]:
     return out
 
 
-def linked_in_tiles(dense: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) that join different components within dense lists (list, doc, rows, weight, comp), found on full sets.
+def linked_in_tiles(dense: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b) that join different components within dense lists (list, doc, rows, weight, comp), found on full sets;
+    the tile of each document (doc, tile), and the pairs of tiles that are compared (tile_a, tile_b), the smaller first.
 
     A document's home is the largest of its dense lists, and homes are dealt into tiles of about TILE_ROWS documents, or
     of fewer that have about TILE_SHINGLES shingles together.
@@ -337,7 +338,7 @@ def linked_in_tiles(dense: DataFrame, docs: DataFrame, id_col: str, text_col: st
     parts = F.ceil(F.greatest(F.col("h.rows") / TILE_ROWS, F.col("h.weight") / TILE_SHINGLES)).cast("int")
     tiled = materialize(home.select("doc", "comp", F.xxhash64("h.list", F.pmod(F.xxhash64("doc"), parts)).alias("tile")), "tiles")
     meet = dense.select("list", "doc").join(tiled.select("doc", "tile"), "doc").select("list", "tile").distinct()
-    pairs = meet.toDF("list", "tile_a").join(meet.toDF("list", "tile_b"), "list").where("tile_a <= tile_b").select("tile_a", "tile_b").distinct()
+    pairs = materialize(meet.toDF("list", "tile_a").join(meet.toDF("list", "tile_b"), "list").where("tile_a <= tile_b").select("tile_a", "tile_b").distinct(), "tile-pairs")
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = np.array([len(h) // 8 for h in pdf["hashes"]], np.int64)
@@ -354,17 +355,25 @@ def linked_in_tiles(dense: DataFrame, docs: DataFrame, id_col: str, text_col: st
                 yield pd.DataFrame(_tile_links(a, b), columns=["a", "b"]).astype(np.int64)
 
     other = tiles.toDF("tile_b", *(f"{c}_b" for c in ("ids", "comps", "sizes", "hashes")))
-    return pairs.join(tiles.withColumnRenamed("tile", "tile_a"), "tile_a").join(other, "tile_b").mapInPandas(look, "a long, b long")
+    links = pairs.join(tiles.withColumnRenamed("tile", "tile_a"), "tile_a").join(other, "tile_b").mapInPandas(look, "a long, b long")
+    return links, tiled.select("doc", "tile"), pairs
+
+
+def not_in_tiles(pairs: DataFrame, tiled: DataFrame, compared: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose tiles, if both have one, are not compared with each other as wholes."""
+    of = pairs.join(tiled.toDF("a", "x"), "a", "left").join(tiled.toDF("b", "y"), "b", "left")
+    of = of.select("a", "b", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.least("x", "y")).alias("tile_a"), F.greatest("x", "y").alias("tile_b"))
+    return of.join(compared, ["tile_a", "tile_b"], "left_anti").select("a", "b")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_shingles, component_id, kept.
 
     Rows with the same set are one class; its smallest id stands for it. Inverted lists of retained hash values propose
-    pairs. Sizes and signatures spare most pairs that can't link. Every list is a star first: its documents are compared with one of them, those that link become components,
-    and only pairs of a list that are still in different components go on, so a group of n near copies costs about n
-    comparisons, not n * n. After STARS turns all pairs left are compared, those of lists with many left tile by tile: no
-    list, list length or number of partners is cut off. Links are confirmed on the full sets.
+    pairs. Sizes and signatures spare most pairs that can't link. Every list is a star first, and a document is compared with that star of its lists with which it shares most lists;
+    those that link become components, and only pairs of a list that are still in different components go on, so a group
+    of n near copies costs about n comparisons a turn, not n * n. After STARS turns all pairs left are compared, those of lists with many left tile by tile, and
+    pairs that tiles have compared are not compared again: no list, list length or number of partners is cut off. Links are confirmed on the full sets.
 
     Null and empty texts, and texts without words, have an empty set and no link. Ids are integers, and a row that repeats
     an id repeats its text; rows without an id only count as copies. An empty table gives no rows.
@@ -390,15 +399,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             by_list = by_comp.groupBy("list").agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), F.sum("k").alias("rows"), F.sum("w").alias("weight"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("left"))
             by_list = materialize(by_list, "left")
             dense = join_by_key(own, by_list.where(F.col("left") > DENSE_PAIRS).select("list", "rows", "weight"), "list", hot).select("list", "doc", "rows", "weight", "comp")
-            in_tiles = linked_in_tiles(dense, docs, id_col, text_col)
+            in_tiles, tiled, compared = linked_in_tiles(dense, docs, id_col, text_col)
             top = by_list.where(F.col("left") <= DENSE_PAIRS).select("list", "top")
             marked = join_by_key(own, top, "list", hot)
             rest = marked.where("comp <> top").select("list", *(F.col(x).alias(f"o_{x}") for x in ("doc", "n", "s1", "s2", "comp")))
             pairs = rest.join(marked, "list").where(f"comp <> o_comp and (comp = top or o_doc < doc) and {_alike('', 'o_')}").select(F.least("o_doc", "doc").alias("a"), F.greatest("o_doc", "doc").alias("b"))
         else:
             head = own.groupBy("list").agg(F.min_by(F.struct("doc", "comp", "n", "s1", "s2"), F.xxhash64("doc", F.lit(turn))).alias("h"))
-            pairs = join_by_key(own, head, "list", hot).where(f"comp <> h.comp and {_alike('', 'h.')}").select(F.least("doc", "h.doc").alias("a"), F.greatest("doc", "h.doc").alias("b"))
-        pairs = pairs.distinct()
+            heads = join_by_key(own, head, "list", hot).where(f"comp <> h.comp and {_alike('', 'h.')}").groupBy("doc", F.col("h.doc").alias("head")).agg(F.count(F.lit(1)).alias("k"))
+            nearest = heads.groupBy("doc").agg(F.max_by("head", F.struct("k", "head")).alias("head"))
+            pairs = nearest.select(F.least("doc", "head").alias("a"), F.greatest("doc", "head").alias("b"))
+        pairs = not_in_tiles(pairs.distinct(), tiled, compared) if last else pairs.distinct()
         pairs = materialize(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = pairs if checked is None else checked.union(pairs)
         close = materialize(likely(pairs, reps), "close")

@@ -72,6 +72,26 @@ def test_near_dense_lists_go_through_tiles(docs, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_components(docs(rows)).collect()} == want
 
 
+def test_near_compares_few_pairs_of_large_groups(docs, monkeypatch):
+    """Near copies with edits of their own, and documents that share a passage but are not alike: a document meets few others one by one."""
+    counts, likely = [], near_dedup.likely
+    monkeypatch.setattr(near_dedup, "likely", lambda pairs, sketched: counts.append(pairs.count()) or likely(pairs, sketched))
+    monkeypatch.setattr(near_dedup, "DENSE_PAIRS", 500)
+    words, passage = prose(5, 150).split(), prose(6, 60)
+    rows = [(k, " ".join(f"c{k}" if j in ((k * 37) % 150, (k * k * 11 + 70) % 150) else w for j, w in enumerate(words))) for k in range(200)]
+    rows += [(1000 + k, f"{prose(7000 + k, 20 + k % 10)} {' '.join(passage.split()[k % 7 :])}") for k in range(200)]
+    want = brute_near(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_components(docs(rows)).collect()} == want
+    assert all(n <= len(rows) for n in counts) and len(counts) == near_dedup.STARS + 1, counts
+
+
+def test_near_pairs_of_compared_tiles_go_once(spark):
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (3, 4), (5, 6)], "a long, b long")
+    tiled = spark.createDataFrame([(1, 10), (2, 10), (3, 9), (4, 8)], "doc long, tile long")
+    compared = spark.createDataFrame([(10, 10), (9, 10)], "tile_a long, tile_b long")
+    assert sorted(map(tuple, near_dedup.not_in_tiles(pairs, tiled, compared).collect())) == [(3, 4), (5, 6)]
+
+
 def test_near_on_small_table(spark):
     docs = spark.read.parquet(f"{SMALLER}/documents.parquet")
     want = brute_near([(r.doc_id, r.text) for r in docs.collect()])
