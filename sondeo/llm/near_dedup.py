@@ -370,10 +370,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of docs: id_col, n_shingles, component_id, kept.
 
     Rows with the same set are one class; its smallest id stands for it. Inverted lists of retained hash values propose
-    pairs. Sizes and signatures spare most pairs that can't link. Every list is a star first, and a document is compared with that star of its lists with which it shares most lists;
-    those that link become components, and only pairs of a list that are still in different components go on, so a group
-    of n near copies costs about n comparisons a turn, not n * n. After STARS turns all pairs left are compared, those of lists with many left tile by tile, and
-    pairs that tiles have compared are not compared again: no list, list length or number of partners is cut off. Links are confirmed on the full sets.
+    pairs. Sizes and signatures spare most pairs that can't link. Every list is a star first, and a document is compared
+    with that star of its lists with which it shares most lists; those that link become components, and only pairs of a
+    list that are still in different components go on, so a group of n near copies costs about n comparisons a turn, not
+    n * n. After STARS turns all pairs left are compared, those of lists with many left tile by tile, and pairs that tiles
+    have compared are not compared again: no list, list length or number of partners is cut off. Links are confirmed on
+    the full sets.
 
     Null and empty texts, and texts without words, have an empty set and no link. Ids are integers, and a row that repeats
     an id repeats its text; rows without an id only count as copies. An empty table gives no rows.
