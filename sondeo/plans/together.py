@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import logging
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -27,6 +28,10 @@ log = logging.getLogger("sondeo")
 
 #: The column that tells of which file a row is, in the written folders.
 FILE = "file"
+#: Rows, and bytes of raw texts, that one task sorts and writes. Packed bytes don't tell: a million rows that look alike are a few MB of Parquet, and hundreds in a sort.
+TASK_ROWS, TASK_BYTES = 500_000, 128 << 20
+#: Neighbouring rows of a file that stay together when it is dealt out.
+CHUNK_ROWS = 100
 #: All combinations of day and month orders that a column may have, one format list each.
 _FORMATS = [tuple(f for sep, first in zip(dates.ORDERS, firsts, strict=True) for f in dates.ORDERS[sep][first]) for firsts in product(("month", "day"), repeat=len(dates.ORDERS))]
 
@@ -71,16 +76,17 @@ def _names(paths: list[str]) -> dict[str, str]:
 
 
 def _with_file(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """df with the name of each row's file. Folders are found by the beginning of the path, files by all of it."""
+    """df with the name of each row's file, and _chunk, a number that CHUNK_ROWS neighbouring rows share and that every run finds again. Folders are found by the beginning of the path, files by all of it."""
     path = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
     known = df.sparkSession.createDataFrame([(re.sub("^file:/+", "/", p), n) for p, n in names.items()], f"_path string, {FILE} string")
-    found = df.withColumns({"_file_path": path, "_folder_path": F.regexp_replace(path, "/[^/]*$", "")})
+    chunk = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))
+    found = df.withColumns({"_file_path": path, "_folder_path": F.regexp_replace(path, "/[^/]*$", ""), "_chunk": chunk})
     return found.join(F.broadcast(known), F.col("_path").isin(F.col("_file_path"), F.col("_folder_path"))).drop("_path", "_file_path", "_folder_path")
 
 
 def _counts(df: DataFrame, raw_texts: list[str], dated: list[str]) -> list[Column]:
     """By file: rows, what was repaired, whether a date column has offsets throughout, and how its texts are read."""
-    out = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_hits"), F.lit(0)).cast("long").alias("encoding_fixed")]
+    out = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_bytes"), F.lit(0)).cast("long").alias("bytes"), F.coalesce(F.sum("_hits"), F.lit(0)).cast("long").alias("encoding_fixed")]
     if "_outcome" in df.columns:
         out += [F.count(F.when(F.col("_outcome") == k, 1)).alias(f"json_{k}") for k in ("fixed", "corrupted")]
         out.append(F.array_distinct(F.flatten(F.collect_set(F.transform("_items", lambda x: x["id"])))).alias("ids"))
@@ -92,13 +98,27 @@ def _counts(df: DataFrame, raw_texts: list[str], dated: list[str]) -> list[Colum
     return out
 
 
+def _tasks(by_file: dict[str, dict]) -> tuple[dict[str, tuple[int, int]], int]:
+    """(first task and number of tasks by file, all tasks): a large file has as many as TASK_ROWS and TASK_BYTES ask for, small ones share one."""
+    out, task, load = {}, 0, 0.0
+    for name, r in by_file.items():
+        own = max(r["rows"] / TASK_ROWS, r["bytes"] / TASK_BYTES)
+        if load and load + own > 1:
+            task, load = task + 1, 0.0
+        parts = max(1, math.ceil(own))
+        out[name] = task, parts
+        task, load = (task + parts, 0.0) if parts > 1 else (task, load + own)
+    return out, task + (load > 0)
+
+
 def _clean_group(spark: SparkSession, kind: str, paths: dict[str, str], out_dir: str, run_time: datetime.datetime, counters: Counters) -> None:
     raw = _with_file(spark.read.parquet(*paths), paths)
     texts = [n for n in c.text_columns(raw) if n != FILE]
+    size = sum((F.coalesce(F.octet_length(c.col(n)), F.lit(0)).cast("long") for n in texts), F.lit(0).cast("long"))
     dated = [n for n in (BM_DATES if kind == "BM" else (BV_DATE,)) if n in raw.columns]
-    df = raw.withColumn("_hits", sum((encoding_hits(c.col(n)) for n in texts), F.lit(0)))
+    df = raw.withColumns({"_hits": sum((encoding_hits(c.col(n)) for n in texts), F.lit(0)), "_bytes": size})
     if kind == "BM" and "answers" in raw.columns:
-        df = written_once(spread(df).withColumns({"_outcome": json_outcome(fix_encoding(F.col("answers"))), "_items": answers.items(F.col("answers"))}), "files")
+        df = written_once(spread(df, "_chunk").withColumns({"_outcome": json_outcome(fix_encoding(F.col("answers"))), "_items": answers.items(F.col("answers"))}), "files")
     by_file = {r[FILE]: r.asDict() for r in df.groupBy(FILE).agg(*_counts(df, texts, dated)).collect()}
     for r in by_file.values():
         counters.encoding_fixed += r["encoding_fixed"]
@@ -111,10 +131,11 @@ def _clean_group(spark: SparkSession, kind: str, paths: dict[str, str], out_dir:
     else:
         counters.bv_processed += rows
 
-    # what differs from file to file: whether the answers or the raw column make the score, and how dates are read
-    told = [(name, "nps_rate_recomendation" in (r.get("ids") or ()), [_FORMATS.index(dates.formats_from(r, f"{i}")) if f"{i}/month" in r else 0 for i in range(len(dated))]) for name, r in by_file.items()]
-    df = df.join(F.broadcast(spark.createDataFrame(told, f"{FILE} string, _answered boolean, _orders array<int>")), FILE)
-    used = [sorted({t[2][i] for t in told}) for i in range(len(dated))]
+    # what differs from file to file: whether the answers or the raw column make the score, how dates are read, and which tasks write
+    tasks, all_tasks = _tasks(by_file)
+    told = [(name, *tasks[name], "nps_rate_recomendation" in (r.get("ids") or ()), [_FORMATS.index(dates.formats_from(r, f"{i}")) if f"{i}/month" in r else 0 for i in range(len(dated))]) for name, r in by_file.items()]
+    df = df.join(F.broadcast(spark.createDataFrame(told, f"{FILE} string, _first int, _parts int, _answered boolean, _orders array<int>")), FILE)
+    used = [sorted({t[-1][i] for t in told}) for i in range(len(dated))]
     read = {n: F.coalesce(*(F.when(F.element_at("_orders", i + 1) == k, dates.to_wall_clock(c.col(n), _FORMATS[k])) for k in used[i])) for i, n in enumerate(dated) if used[i]}
     if kind == "BM":
         df = df.withColumns(read)
@@ -122,7 +143,8 @@ def _clean_group(spark: SparkSession, kind: str, paths: dict[str, str], out_dir:
         cleaned = clean_bm(df, run_time, ids, {}, parsed="_items" if "_items" in df.columns else None, answered=F.col("_answered"))
     else:
         cleaned = clean_bv(df, run_time, {}, read.get(BV_DATE))
-    cleaned.drop("_hits", "_outcome", "_items", "_answered", "_orders").hint("rebalance", FILE).write.mode("append").partitionBy(FILE).parquet(out_dir)
+    dealt = cleaned.drop("_hits", "_bytes", "_outcome", "_items", "_answered", "_orders").withColumn("_task", (F.col("_first") + F.pmod("_chunk", "_parts")).cast("int"))
+    dealt.repartitionById(max(1, all_tasks), "_task").drop("_task", "_first", "_parts", "_chunk").write.mode("append").partitionBy(FILE).parquet(out_dir)
 
 
 def clean_together(spark: SparkSession, paths: list[str] | str, out_dir: str, run_time: datetime.datetime) -> tuple[Counters, list[str]]:

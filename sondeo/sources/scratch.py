@@ -39,10 +39,14 @@ def written_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df in at least as many partitions as there are cores; large input has them anyway and is left as it is."""
+def spread(df: DataFrame, by: str | None = None) -> DataFrame:
+    """df in at least as many partitions as there are cores; large input has them anyway and is left as it is.
+
+    by: a column by which rows are dealt, if there is one that is spread evenly and the same on every run; without it
+    a task sorts all rows that it reads, so that rows which are read again go where they went.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *([by] if by else [])) if df.rdd.getNumPartitions() < cores else df
 
 
 def clear(spark: SparkSession) -> None:

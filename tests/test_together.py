@@ -78,3 +78,23 @@ def test_jobs_do_not_grow_with_files(spark, tmp_path):
 
 def test_no_files(spark, tmp_path):
     assert together.clean_together(spark, [], str(tmp_path / "out"), NOW)[1] == []
+
+
+def test_a_task_writes_so_many_rows_at_most(spark, tmp_path, monkeypatch):
+    """However few bytes they pack to; small files share a task, and each has one file in its folder."""
+    monkeypatch.setattr(together, "TASK_ROWS", 1_000)
+    spark.range(12_000).select(F.lit("web").alias("channel"), F.lit("[]").alias("answers")).coalesce(1).write.parquet(str(tmp_path / "in" / "large_bm.parquet"))
+    for i in range(6):
+        spark.range(100 + i).select(F.lit("web").alias("channel"), F.lit("[]").alias("answers")).coalesce(1).write.parquet(str(tmp_path / "in" / f"small{i}_bm.parquet"))
+    counters, written = together.clean_together(spark, f"{tmp_path}/in/*.parquet", str(tmp_path / "out"), NOW)
+    assert (counters.bm_processed, counters.errors, len(written)) == (12_615, 0, 7)
+    out = spark.read.parquet(str(tmp_path / "out")).groupBy("file", F.input_file_name().alias("path")).count().collect()
+    large = [r["count"] for r in out if r["file"].startswith("large")]
+    assert sum(large) == 12_000 and max(large) < 2_000
+    assert sorted(r["count"] for r in out if r["file"].startswith("small")) == [100 + i for i in range(6)]
+
+
+def test_tasks_of_files():
+    sizes = {"a": (400_000, 0), "b": (50_000, 0), "c": (100_000, 0), "d": (1_700_000, 0), "e": (10, 300 << 20), "f": (1, 1)}
+    assert together._tasks({n: {"rows": r, "bytes": b} for n, (r, b) in sizes.items()}) == ({"a": (0, 1), "b": (0, 1), "c": (1, 1), "d": (2, 4), "e": (6, 3), "f": (9, 1)}, 10)
+    assert together._tasks({}) == ({}, 0)
