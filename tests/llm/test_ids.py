@@ -1,6 +1,7 @@
 """Token ids as files."""
 
 import json
+import random
 import zlib
 
 import numpy as np
@@ -161,3 +162,31 @@ def test_query_against_plain_ids(spark):
         assert (got[row.doc_id].start, got[row.doc_id].n_tokens, got[row.doc_id].ids_crc32) == (at, len(coded), zlib.crc32(coded.tobytes()))
         at += len(coded)
     assert len(got) == len(rows)
+
+
+def test_parts_are_looked_up_once_a_lot(monkeypatch):
+    """However often texts have a part; and lots, small memories and lots without any parts change no ids."""
+    looked_up = []
+    ids_of = tokens._Table.ids_of
+    monkeypatch.setattr(tokens._Table, "ids_of", lambda self, known, *a: (looked_up.append(len(known)), ids_of(self, known, *a))[1])
+    texts = ["la casa, es de Ana. " * 300 + "fin"] * 20
+    assert [x.tolist() for x in tokens.encoder(queries.vocabulary())(texts)] == plain(texts)
+    assert looked_up == [9], looked_up
+    rng = random.Random(11)
+    made = ["".join(rng.choice([*"ab'  \n\n\t\r.,1é×÷ÿɏɐñ \x85\x1c\xa0İß中😀\u0301$", "it's", " a"]) for _ in range(rng.randrange(25))) for _ in range(3000)]
+    made += ["", " ", "  ", "a  b", "\n \n", "x\n"]
+    for chars, memory in ((1 << 20, 1 << 20), (40, 2000), (1, 1)):
+        monkeypatch.setattr(tokens, "LOT_CHARS", chars)
+        monkeypatch.setattr(tokens, "MEMO_BYTES", memory)
+        assert [x.tolist() for x in tokens.encoder(queries.vocabulary())(made)] == plain(made)
+
+
+def test_unusual_texts_by_bytes():
+    rng = random.Random(12)
+    texts = ["".join(rng.choice([*"ab .,\n\t'é×÷ÿɏɐ\x80\xa0İ中😀"] if rng.random() < 0.2 else "abé ,.") for _ in range(rng.randrange(12))) for _ in range(4000)]
+    for t in texts:
+        data = t.encode()
+        assert tokens.unusual_texts(np.frombuffer(data, np.uint8), np.array([0, len(data)])).tolist() == [tokens.UNUSUAL.search(t) is not None], t
+    data = [t.encode() for t in texts]
+    found = tokens.unusual_texts(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert all(odd or not tokens.UNUSUAL.search(t) for odd, t in zip(found, texts, strict=True))
