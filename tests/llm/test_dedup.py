@@ -331,3 +331,34 @@ def test_suffix_arrays(strings):
                 assert (got[a : a + len(s)] - a).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
     finally:
         suffix_sort.LONG = usual
+
+
+def test_packed_columns():
+    rng = np.random.default_rng(3)
+    for columns in ([[0]], [[5, -7, 2**62, -(2**62)], [2**63 - 1, -(2**63), 0, 1]], rng.integers(-(2**63), 2**63 - 1, (5, 700)).tolist()):
+        own = [np.array(c, np.int64) for c in columns]
+        assert suffix_dedup._unpacked(suffix_dedup._packed(*own), len(own)).tolist() == [c.tolist() for c in own]
+    ids = np.arange(10**6, 10**6 + 1000)
+    assert len(suffix_dedup._packed(ids, ids, ids // 9)) < 1000
+
+
+def test_documents_give_their_snippets_in_turns(spark, tmp_path, monkeypatch):
+    """Same result; a turn moves its own texts only, and snippets lie packed."""
+    monkeypatch.setattr(suffix_dedup, "ONE_TURN_BYTES", 0)
+    written = {}
+    materialize = suffix_dedup.materialize
+
+    def measured(df, label):
+        out = materialize(df, label)
+        if label == "snippets":
+            written.setdefault(label, []).append((out.where("kind = 1").count(), out.agg(F.sum(F.octet_length("texts") + F.octet_length("keys"))).head()[0] or 0))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "materialize", measured)
+    passages = [prose(100 + i, 60) for i in range(12)]
+    rows = [(i, prose(i, 20) + passages[i % 12] + prose(500 + i, 20) + passages[i * 5 % 12][:200]) for i in range(240)]
+    want = brute_repeats(rows)
+    for r in run_repeats(spark, rows, tmp_path):
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], r.doc_id
+    assert len(written["snippets"]) == suffix_dedup.TURNS and all(n > 0 for n, _ in written["snippets"])
+    assert sum(size for _, size in written["snippets"]) < sum(len(t.encode()) for _, t in rows)
